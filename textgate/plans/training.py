@@ -32,7 +32,7 @@ EPOCHS = 4
 WEIGHT_DECAY = 0.01
 SAVE_TOTAL_LIMIT = 2
 SEED = 42
-NUM_FEATURES = 1 << 18
+NUM_FEATURES = 1 << 16
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("epoch", T.IntegerType()), T.StructField("accuracy", T.DoubleType()),

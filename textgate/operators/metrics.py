@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TRUTH, PRED, N = "truth", "predicted", "n"
 
@@ -39,27 +40,23 @@ def confusion_counts(df: DataFrame, truth: str = "label", pred: str = "predictio
 def class_stats(conf: DataFrame, by: Sequence[str] = (), labels: Sequence | None = None) -> DataFrame:
     """Per class: ``tp``, ``support`` (true count), ``predicted`` (predicted count), ``listed``.
 
-    ``listed`` marks the classes that make up the report: all seen classes without ``labels``,
-    else the given labels (zero rows are added for unseen ones; seen but unlisted classes are
-    kept with ``listed = false`` so the micro/accuracy choice can see them).
+    Each confusion row is exploded into its truth-side and prediction-side contribution, so the
+    confusion table is read once. ``listed`` marks the report's classes: all seen classes
+    without ``labels``, else the seen classes among ``labels`` (unseen listed classes are added
+    by ``report_from_confusion``; seen unlisted ones stay, ``listed = false``, for the
+    micro/accuracy choice).
     """
     hit = F.col(TRUTH).eqNullSafe(F.col(PRED))
-    parts = conf.select(*by, F.col(TRUTH).alias("class"), F.when(hit, F.col(N)).otherwise(0).alias("tp"),
-                        F.col(N).alias("support"), F.lit(0).cast("bigint").alias("predicted")).unionByName(
-        conf.select(*by, F.col(PRED).alias("class"), F.lit(0).cast("bigint").alias("tp"),
-                    F.lit(0).cast("bigint").alias("support"), F.col(N).alias("predicted")))
-    if labels is not None:
-        ctype = conf.schema[TRUTH].dataType
-        zero = conf.select(*by).distinct() if by else conf.sparkSession.range(1).select()
-        zero = zero.select(*by, F.explode(F.array(*[F.lit(x) for x in labels]).cast(f"array<{ctype.simpleString()}>"))
-                           .alias("class"), F.lit(0).cast("bigint").alias("tp"),
-                           F.lit(0).cast("bigint").alias("support"), F.lit(0).cast("bigint").alias("predicted"))
-        parts = parts.unionByName(zero)
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col(TRUTH).alias("class"), F.when(hit, F.col(N)).otherwise(zero).alias("tp"),
+                 F.col(N).alias("support"), zero.alias("predicted")),
+        F.struct(F.col(PRED).alias("class"), zero.alias("tp"), zero.alias("support"), F.col(N).alias("predicted")))
+    parts = conf.select(*by, F.explode(sides).alias("_s")).select(*by, "_s.*")
     stats = parts.groupBy(*by, "class").agg(F.sum("tp").alias("tp"), F.sum("support").alias("support"),
                                             F.sum("predicted").alias("predicted"))
     listed = F.lit(True) if labels is None else F.coalesce(F.col("class").isin(list(labels)), F.lit(False))
-    return stats.withColumn("listed", listed).filter(
-        F.col("listed") | (F.col("support") > 0) | (F.col("predicted") > 0))
+    return stats.withColumn("listed", listed)
 
 
 def _with_prf(stats: DataFrame) -> DataFrame:
@@ -71,7 +68,7 @@ def _with_prf(stats: DataFrame) -> DataFrame:
 
 
 def metrics_from_confusion(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., accuracy, f1_macro)`` from the confusion counts."""
+    """``(by..., accuracy, f1_macro)`` from the confusion counts (one read of ``conf``)."""
     s = _with_prf(class_stats(conf, by))
     return s.groupBy(*by).agg(
         _ratio(F.sum("tp"), F.sum("support")).alias("accuracy"),
@@ -89,57 +86,78 @@ def f1_macro(df: DataFrame, truth: str = "label", pred: str = "prediction", by:
     return metrics_from_confusion(confusion_counts(df, truth, pred, by), by).select(*by, "f1_macro")
 
 
+REPORT_COLS = ("precision", "recall", "f1_score", "support")
+ROW_ARRAY = "array<struct<row_order:int,class:string,precision:double,recall:double,f1_score:double,support:double>>"
+
+
 def report_from_confusion(conf: DataFrame, by: Sequence[str] = (), labels: Sequence | None = None,
                           names: Sequence[str] | None = None) -> DataFrame:
     """Classification report, long form: ``(by..., row_order, class, precision, recall, f1_score, support)``.
 
-    ``names`` renames the listed ``labels`` (target names), in the same order.
+    ``names`` renames the listed ``labels`` (target names), in the same order. Plan: the
+    confusion aggregate, the per-class aggregate, then one window over each group's K class rows
+    that carries the group totals; the first class row of a group also emits the summary rows
+    (and zero rows for listed classes never seen), all through one ``explode``.
     """
     s = _with_prf(class_stats(conf, by, labels))
-    listed = s.filter("listed")
+    w = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    ordered = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("class")
+    lst = F.col("listed")
+
+    def over_listed(c):
+        return F.sum(F.when(lst, c).otherwise(F.lit(0))).over(w)
+
+    g = s.withColumns({
+        "_rn": F.row_number().over(ordered),
+        "_k": F.lit(len(labels)) if labels is not None else F.count(F.lit(1)).over(w),
+        "_tp_l": over_listed(F.col("tp")), "_sup_l": over_listed(F.col("support")),
+        "_pred_l": over_listed(F.col("predicted")),
+        "_tp_all": F.sum("tp").over(w), "_sup_all": F.sum("support").over(w),
+        "_unlisted": F.sum(F.when(lst, 0).otherwise(1)).over(w),
+        **{f"_m_{c}": over_listed(F.col(c)) for c in REPORT_COLS[:3]},
+        **{f"_w_{c}": over_listed(F.col(c) * F.col("support")) for c in REPORT_COLS[:3]},
+    })
     if labels is not None:
-        pos = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("class")).cast("int") - 1
-        listed = listed.withColumn("row_order", pos)
-        if names is not None:
-            listed = listed.withColumn("class", F.element_at(F.array(*[F.lit(str(x)) for x in names]),
-                                                             F.col("row_order") + 1))
+        lab = F.array(*[F.lit(x) for x in labels]).cast(
+            T.ArrayType(conf.schema[TRUTH].dataType))
+        nm = F.array(*[F.lit(str(x)) for x in (names if names is not None else labels)])
+        g = g.withColumn("_present", F.collect_set(F.when(lst, F.col("class"))).over(w))
+        own_order = (F.array_position(lab, F.col("class")) - 1).cast("int")
+        own_name = F.element_at(nm, own_order + 1)
     else:
-        w = Window.partitionBy(*by).orderBy("class") if by else Window.orderBy("class")
-        listed = listed.withColumn("row_order", (F.row_number().over(w) - 1).cast("int"))
-    cols = ["precision", "recall", "f1_score", "support"]
-    rows = listed.select(*by, "row_order", F.col("class").cast("string").alias("class"),
-                         "precision", "recall", "f1_score", F.col("support").cast("double").alias("support"))
-
-    summ = s.groupBy(*by).agg(
-        F.count_if(F.col("listed")).alias("k"),
-        F.sum(F.when(F.col("listed"), F.col("tp")).otherwise(0)).alias("tp_l"),
-        F.sum(F.when(F.col("listed"), F.col("support")).otherwise(0)).alias("sup_l"),
-        F.sum(F.when(F.col("listed"), F.col("predicted")).otherwise(0)).alias("pred_l"),
-        F.sum("tp").alias("tp_all"), F.sum("support").alias("sup_all"),
-        F.count_if(~F.col("listed")).alias("unlisted"),
-        *[F.avg(F.when(F.col("listed"), F.col(c))).alias(f"m_{c}") for c in cols[:3]],
-        *[F.sum(F.when(F.col("listed"), F.col(c) * F.col("support"))).alias(f"w_{c}") for c in cols[:3]],
-    )
-    acc = _ratio(F.col("tp_all"), F.col("sup_all"))
-    micro_p, micro_r = _ratio(F.col("tp_l"), F.col("pred_l")), _ratio(F.col("tp_l"), F.col("sup_l"))
+        own_order = (F.col("_rn") - 1).cast("int")
+        own_name = F.col("class").cast("string")
+
+    def row(order, name, p, r, f, sup):
+        return F.struct(order.cast("int").alias("row_order"), name.cast("string").alias("class"),
+                        p.cast("double").alias("precision"), r.cast("double").alias("recall"),
+                        f.cast("double").alias("f1_score"), sup.cast("double").alias("support"))
+
+    k = F.col("_k")
+    acc = _ratio(F.col("_tp_all"), F.col("_sup_all"))
+    micro_p, micro_r = _ratio(F.col("_tp_l"), F.col("_pred_l")), _ratio(F.col("_tp_l"), F.col("_sup_l"))
     micro_f = _ratio(2 * micro_p * micro_r, micro_p + micro_r)
-    is_acc = F.col("unlisted") == 0
-    acc_row = summ.select(
-        *by, F.col("k").cast("int").alias("row_order"),
-        F.when(is_acc, F.lit("accuracy")).otherwise(F.lit("micro avg")).alias("class"),
-        F.when(is_acc, acc).otherwise(micro_p).alias("precision"),
-        F.when(is_acc, acc).otherwise(micro_r).alias("recall"),
-        F.when(is_acc, acc).otherwise(micro_f).alias("f1_score"),
-        F.when(is_acc, acc).otherwise(F.col("sup_l").cast("double")).alias("support"))
-    macro_row = summ.select(
-        *by, (F.col("k") + 1).cast("int").alias("row_order"), F.lit("macro avg").alias("class"),
-        *[F.coalesce(F.col(f"m_{c}"), F.lit(0.0)).alias(c) for c in cols[:3]],
-        F.col("sup_l").cast("double").alias("support"))
-    weighted_row = summ.select(
-        *by, (F.col("k") + 2).cast("int").alias("row_order"), F.lit("weighted avg").alias("class"),
-        *[_ratio(F.coalesce(F.col(f"w_{c}"), F.lit(0.0)), F.col("sup_l")).alias(c) for c in cols[:3]],
-        F.col("sup_l").cast("double").alias("support"))
-    return rows.unionByName(acc_row).unionByName(macro_row).unionByName(weighted_row)
+    is_acc = F.col("_unlisted") == 0
+    summary = [
+        row(k, F.when(is_acc, F.lit("accuracy")).otherwise(F.lit("micro avg")),
+            F.when(is_acc, acc).otherwise(micro_p), F.when(is_acc, acc).otherwise(micro_r),
+            F.when(is_acc, acc).otherwise(micro_f), F.when(is_acc, acc).otherwise(F.col("_sup_l"))),
+        row(k + 1, F.lit("macro avg"), *[_ratio(F.col(f"_m_{c}"), k) for c in REPORT_COLS[:3]], F.col("_sup_l")),
+        row(k + 2, F.lit("weighted avg"), *[_ratio(F.col(f"_w_{c}"), F.col("_sup_l")) for c in REPORT_COLS[:3]],
+            F.col("_sup_l")),
+    ]
+    own = F.when(lst, F.array(row(own_order, own_name, F.col("precision"), F.col("recall"), F.col("f1_score"),
+                                  F.col("support")))).otherwise(F.array().cast(ROW_ARRAY))
+    extra = F.array(*summary)
+    if labels is not None:
+        z = F.lit(0.0)
+        unseen = F.transform(
+            F.filter(F.sequence(F.lit(0), F.lit(len(labels) - 1)),
+                     lambda i: ~F.array_contains(F.col("_present"), F.element_at(lab, i + 1))),
+            lambda i: row(i, F.element_at(nm, i + 1), z, z, z, z))
+        extra = F.concat(unseen, extra)
+    out = F.explode(F.when(F.col("_rn") == 1, F.concat(own, extra)).otherwise(own)).alias("_r")
+    return g.select(*by, out).select(*by, "_r.*")
 
 
 def classification_report(df: DataFrame, truth: str = "label", pred: str = "prediction",

@@ -499,9 +499,9 @@ def trained(spark, sf):
 
 @query
 def q_train_candidates(spark, sf):
-    from textgate.plans.training import train_candidates
+    from textgate.plans.training import materialise_splits, train_candidates
 
-    s = SP.stratified_split(cleaned(spark, sf), "doc_id")
+    s = materialise_splits(SP.stratified_split(cleaned(spark, sf), "doc_id"), _scratch(spark, "splits"))
     hist, _ = train_candidates(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "validation"))
     return hist.select("epoch", r6("accuracy").alias("accuracy"), r6("f1_macro").alias("f1_macro"),
                        r6("loss").alias("loss"))

@@ -85,15 +85,21 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
                      num_features: int = NUM_FEATURES) -> tuple[DataFrame, dict[int, GateModel]]:
     """One candidate per epoch count, each scored on ``validation``.
 
-    Returns the history ``(epoch, accuracy, f1_macro, loss)`` and the fitted candidates.
+    Reads ``train`` twice (label domain; token counts, kept in memory for the IDF fit and every
+    candidate) and ``validation`` once. Returns the history ``(epoch, accuracy, f1_macro, loss)``
+    and the fitted candidates.
     """
     spark = train.sparkSession
     indexer = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc",
                             handleInvalid="error").fit(train)
     labels = list(indexer.labelsArray[0])
-    feats = Pipeline(stages=feature_stages(text, num_features)).fit(train)
-    train_x = feats.transform(indexer.transform(train)).select("label_id", "features").persist()
-    val_x = feats.transform(indexer.transform(validation)).select("label_id", "features")
+    tok, tf, idf = feature_stages(text, num_features)
+    train_tf = tf.transform(tok.transform(indexer.transform(train))).select("label_id", "tf").persist()
+    idf_model = idf.fit(train_tf)
+    feats = [tok, tf, idf_model]
+    train_x = idf_model.transform(train_tf).select("label_id", "features")
+    val_x = idf_model.transform(tf.transform(tok.transform(indexer.transform(validation)))) \
+        .select("label_id", "features").persist()
     rows, models = [], {}
     try:
         for ep in epochs:
@@ -107,12 +113,22 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
             hist = lr_model.summary.objectiveHistory if lr_model.hasSummary else []
             rows.append((int(ep), float(m["accuracy"] or 0.0), float(m["f1_macro"] or 0.0),
                          float(hist[-1]) if hist else None))
-            models[int(ep)] = GateModel(PipelineModel(stages=[indexer, *feats.stages, lr_model]), labels, text, label)
+            models[int(ep)] = GateModel(PipelineModel(stages=[indexer, *feats, lr_model]), labels, text, label)
     finally:
-        train_x.unpersist()
+        train_tf.unpersist()
+        val_x.unpersist()
     return spark.createDataFrame(rows, HISTORY_SCHEMA), models
 
 
+def materialise_splits(splits: DataFrame, path: str) -> DataFrame:
+    """Write the split table once and read it back: the lineage (scan, cleaning regexes, ranking)
+    is cut, and every later pass reads parquet with ``split`` pruned by folder."""
+    from textgate.sources.writers import write_splits
+
+    write_splits(splits, path)
+    return splits.sparkSession.read.parquet(path)
+
+
 def best_candidates(history: DataFrame, metric: str = "f1_macro", keep: int = SAVE_TOTAL_LIMIT) -> DataFrame:
     """Highest metric first, earliest epoch on ties; at most ``keep`` rows (top-k, a limit by design)."""
     return history.orderBy(F.desc(metric), F.asc("epoch")).limit(keep)
@@ -132,12 +148,10 @@ def train_gate(df: DataFrame, key: str, text: str = "text", label: str = "label"
     """Normalise → validate → split → label map → candidates → keep the best → save."""
     clean = C.clean_labelled(df, text, label)
     C.validate_labels(C.assert_no_blank(clean, text, label, key=key), label, allowed)
-    splits = SP.stratified_split(clean, key, label, seed=seed)
-    if save_to:
-        from textgate.sources.writers import write_splits
+    from textgate.session import scratch_path
 
-        write_splits(splits, f"{save_to}/splits")
-        splits = splits.sparkSession.read.parquet(f"{save_to}/splits")
+    root = save_to or scratch_path(df.sparkSession, "gate")
+    splits = materialise_splits(SP.stratified_split(clean, key, label, seed=seed), f"{root}/splits")
     train = splits.filter(F.col("split") == "train")
     valid = splits.filter(F.col("split") == "validation")
     history, models = train_candidates(train, valid, text, label, epochs)

@@ -38,14 +38,12 @@ def get_spark(master: str | None = None, app: str = "textgate", **conf: str) ->
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; a local one is made only when the session has none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="textgate-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 

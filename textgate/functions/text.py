@@ -6,10 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Python's str.isspace() class: Unicode White_Space plus the separators \x1c-\x1f,
-# which Java's (?U)\s leaves out.
+# which Java's (?U)\s leaves out. As a regex class (collapse, split) and as the character set
+# for btrim (strip), which touches only the ends of the string.
 WS = r"[\s\x1c-\x1f]"
-_STRIP = r"(?U)^" + WS + r"+|" + WS + r"+\z"
+WS_CHARS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 _RUN = r"(?U)" + WS + r"+"
+_NON_WS = r"(?U)[^\s\x1c-\x1f]"
 
 
 def col(c: str | Column) -> Column:
@@ -17,8 +19,8 @@ def col(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    """Remove surrounding whitespace of any kind (Python ``str.strip()``)."""
-    return F.regexp_replace(col(c), _STRIP, "")
+    """Remove surrounding whitespace of any kind (Python ``str.strip()``), without a regex."""
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c: str | Column) -> Column:
@@ -45,13 +47,13 @@ def fill_blank(c: str | Column, default: str = "") -> Column:
 
 
 def is_blank(c: str | Column) -> Column:
-    """True for null, empty, or whitespace only."""
-    return F.coalesce(strip(c) == F.lit(""), F.lit(True))
+    """True for null, empty, or whitespace only (the search stops at the first visible character)."""
+    return F.coalesce(~col(c).rlike(_NON_WS), F.lit(True))
 
 
 def tokens(c: str | Column, max_length: int | None = 128) -> Column:
     """Lower-cased whitespace tokens of the whole text, optionally cut to ``max_length``."""
-    words = F.filter(F.split(F.lower(strip_collapse(c)), " "), lambda w: w != F.lit(""))
+    words = F.filter(F.split(F.lower(col(c)), _RUN), lambda w: w != F.lit(""))
     return F.slice(words, 1, max_length) if max_length else words
 
 

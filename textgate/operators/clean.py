@@ -46,12 +46,16 @@ def default_subtype(df: DataFrame, subtype: str = "subtype", default: str = DEFA
     return df.withColumn(subtype, fill_blank(subtype, default))
 
 
-def normalise(df: DataFrame, text: str = "text", label: str = "label", subtype: str = "subtype") -> DataFrame:
+def normalise(df: DataFrame, text: str | None = "text", label: str = "label", subtype: str = "subtype") -> DataFrame:
     """text: strip + collapse whitespace runs; label, subtype: strip + lowercase.
 
-    Nulls stay null (fill them first with ``fill_text_label`` / ``default_subtype``).
+    Nulls stay null (fill them first with ``fill_text_label`` / ``default_subtype``). With
+    ``text=None`` only the label and subtype are normalised (checks do not need the text regex:
+    a text is blank before normalisation exactly when it is blank after).
     """
-    cols = {text: strip_collapse(text), label: lowercase(strip(label))}
+    cols = {label: lowercase(strip(label))}
+    if text is not None:
+        cols[text] = strip_collapse(text)
     if subtype in df.columns:
         cols[subtype] = lowercase(strip(subtype))
     return df.withColumns(cols)
@@ -64,12 +68,17 @@ def select_core(df: DataFrame, key: str | Sequence[str] | None = None,
     return df.select(*keys, *columns)
 
 
+def load_clean(df: DataFrame, text: str = "text", label: str = "label", subtype: str = "subtype",
+               default: str = DEFAULT_SUBTYPE) -> DataFrame:
+    """Load-time cleaning: header names, required columns, fill + strip, default subtype."""
+    df = require_columns(clean_header(df), (text, label))
+    return default_subtype(fill_text_label(df, text, label), subtype, default)
+
+
 def clean_labelled(df: DataFrame, text: str = "text", label: str = "label", subtype: str = "subtype",
                    default: str = DEFAULT_SUBTYPE) -> DataFrame:
     """Load-time cleaning followed by ``normalise`` (one projection, no shuffle)."""
-    df = require_columns(clean_header(df), (text, label))
-    df = default_subtype(fill_text_label(df, text, label), subtype, default)
-    return normalise(df, text, label, subtype)
+    return normalise(load_clean(df, text, label, subtype, default), text, label, subtype)
 
 
 # ---------------------------------------------------------------- quality checks
@@ -135,6 +144,19 @@ def quality_summary(df: DataFrame, text: str = "text", label: str = "label",
     )
 
 
+def check_quality(df: DataFrame, text: str = "text", label: str = "label",
+                  allowed: Sequence[str] = ALLOWED_LABELS, key: str | Sequence[str] | None = None) -> DataFrame:
+    """Both load checks from one scan (``quality_summary``); the preview rows or the sorted bad
+    labels are fetched only when a check fails. Returns ``df`` unchanged."""
+    s = quality_summary(df, text, label, allowed).first()
+    if s["n_blank"]:
+        rows = preview_rows(df.filter(is_blank(text) | is_blank(label)), key, 5).collect()
+        raise ValueError(f"the dataset contains blank rows. Examples: {[r.asDict() for r in rows]}")
+    if s["n_bad_label_rows"]:
+        validate_labels(df, label, allowed)
+    return df
+
+
 def drop_blank_asks(df: DataFrame, text: str = "text") -> DataFrame:
     """Skip questions that are empty after strip; the kept text is stripped."""
     return df.withColumn(text, strip(text)).filter(~is_blank(text))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textgate.operators.clean import assert_no_blank, clean_labelled, validate_labels
+from textgate.operators.clean import check_quality, load_clean, normalise
 from textgate.operators.split import stratified_split
 from textgate.plans import fixtures as fx
 
@@ -13,8 +13,9 @@ from textgate.plans import fixtures as fx
 def split_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``dirty`` → clean + normalise → checks → 70/15/15 split → rows and mean text length per
     (split, label)."""
-    df = clean_labelled(fx.dirty(spark, sf_dir))
-    validate_labels(assert_no_blank(df, key="doc_id"))
+    filled = load_clean(fx.dirty(spark, sf_dir))
+    check_quality(normalise(filled, text=None), key="doc_id")
+    df = normalise(filled)
     s = stratified_split(df, "doc_id")
     return s.groupBy("split", "label").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),

@@ -146,8 +146,9 @@ def train_gate(df: DataFrame, key: str, text: str = "text", label: str = "label"
                epochs: Sequence[int] = tuple(range(1, EPOCHS + 1)), save_to: str | None = None,
                allowed: Sequence[str] = C.ALLOWED_LABELS) -> TrainResult:
     """Normalise → validate → split → label map → candidates → keep the best → save."""
-    clean = C.clean_labelled(df, text, label)
-    C.validate_labels(C.assert_no_blank(clean, text, label, key=key), label, allowed)
+    filled = C.load_clean(df, text, label)
+    C.check_quality(C.normalise(filled, None, label), text, label, allowed, key=key)
+    clean = C.normalise(filled, text, label)
     from textgate.session import scratch_path
 
     root = save_to or scratch_path(df.sparkSession, "gate")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgate.functions.text import attention_mask, pad_tokens as pad_expr, tokens
@@ -39,10 +39,12 @@ def pad_to_group_max(df: DataFrame, batch: str, col: str = "input_tokens", out:
                      mask: str = "attention_mask", pad: str = PAD) -> DataFrame:
     """Pad each row to the longest row of its batch (dynamic padding).
 
-    A window partitioned by the batch id: batches are small, so the shuffle spreads evenly.
+    The batch maxima come from a partial aggregation (one row per batch and task before the
+    shuffle) and are joined back on the batch id; a hot batch is split by AQE's skew-join
+    handling instead of landing whole in one window task.
     """
-    n = F.max(F.size(col)).over(Window.partitionBy(batch))
-    return df.withColumn("_len", n).withColumns(
+    lens = df.groupBy(F.col(batch).alias("_batch")).agg(F.max(F.size(col)).alias("_len"))
+    return df.join(lens, df[batch].eqNullSafe(lens["_batch"])).drop("_batch").withColumns(
         {out: pad_expr(col, F.col("_len"), pad), mask: attention_mask(col, F.col("_len"))}).drop("_len")
 
 

@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer
@@ -82,7 +84,7 @@ def feature_stages(text: str = "text", num_features: int = NUM_FEATURES):
 
 def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text", label: str = "label",
                      epochs: Sequence[int] = tuple(range(1, EPOCHS + 1)), reg_param: float = WEIGHT_DECAY,
-                     num_features: int = NUM_FEATURES) -> tuple[DataFrame, dict[int, GateModel]]:
+                     num_features: int = NUM_FEATURES, parallelism: int = 4) -> tuple[DataFrame, dict[int, GateModel]]:
     """One candidate per epoch count, each scored on ``validation``.
 
     Reads ``train`` twice (label domain; token counts, kept in memory for the IDF fit and every
@@ -100,23 +102,28 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
     train_x = idf_model.transform(train_tf).select("label_id", "features")
     val_x = idf_model.transform(tf.transform(tok.transform(indexer.transform(validation)))) \
         .select("label_id", "features").persist()
-    rows, models = [], {}
+    def fit_one(ep: int):
+        lr = LogisticRegression(featuresCol="features", labelCol="label_id", maxIter=int(ep), regParam=reg_param,
+                                elasticNetParam=0.0, tol=0.0, standardization=False)
+        lr_model = lr.fit(train_x)
+        pred = lr_model.transform(val_x)
+        conf = M.confusion_counts(pred.withColumn("label_id", F.col("label_id").cast("double")),
+                                  "label_id", "prediction")
+        m = M.metrics_from_confusion(conf).first()
+        hist = lr_model.summary.objectiveHistory if lr_model.hasSummary else []
+        row = (int(ep), float(m["accuracy"] or 0.0), float(m["f1_macro"] or 0.0), float(hist[-1]) if hist else None)
+        return row, GateModel(PipelineModel(stages=[indexer, *feats, lr_model]), labels, text, label)
+
     try:
-        for ep in epochs:
-            lr = LogisticRegression(featuresCol="features", labelCol="label_id", maxIter=int(ep), regParam=reg_param,
-                                    elasticNetParam=0.0, tol=0.0, standardization=False)
-            lr_model = lr.fit(train_x)
-            pred = lr_model.transform(val_x)
-            conf = M.confusion_counts(pred.withColumn("label_id", F.col("label_id").cast("double")),
-                                      "label_id", "prediction")
-            m = M.metrics_from_confusion(conf).first()
-            hist = lr_model.summary.objectiveHistory if lr_model.hasSummary else []
-            rows.append((int(ep), float(m["accuracy"] or 0.0), float(m["f1_macro"] or 0.0),
-                         float(hist[-1]) if hist else None))
-            models[int(ep)] = GateModel(PipelineModel(stages=[indexer, *feats, lr_model]), labels, text, label)
+        # Candidates are independent jobs: fit them concurrently, as pyspark.ml's tuning classes
+        # do with ``parallelism`` (the scheduler shares the executors among them).
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(epochs)))) as pool:
+            done = list(pool.map(inheritable_thread_target(fit_one), [int(e) for e in epochs]))
     finally:
         train_tf.unpersist()
         val_x.unpersist()
+    rows = [r for r, _ in done]
+    models = {r[0]: g for r, g in done}
     return spark.createDataFrame(rows, HISTORY_SCHEMA), models
 
 

@@ -88,3 +88,12 @@ def test_unexpected_labels_sorted(spark):
 def test_clean_header(spark):
     df = spark.createDataFrame([("a", "b")], ["﻿text ", " label"])
     assert C.clean_header(df).columns == ["text", "label"]
+
+
+def test_label_check_edge_rows(spark):
+    df = spark.createDataFrame([("a", "valida"), ("b", "NO_VALIDA "), ("c", "otra"), ("d", None)],
+                               "text string, label string")
+    bad = [r.label for r in C.unexpected_labels(C.normalise(df, text=None)).collect()]
+    assert bad == [None, "otra"]
+    ok = C.normalise(df.filter("text in ('a', 'b')"), text=None)
+    assert C.validate_labels(ok) is ok

@@ -78,3 +78,18 @@ def test_stream_score_equals_batch(spark, gate):
     batch = {(r.conv_id, r.turn): (r.predicted_label, round(r.confidence, 9))
              for r in score(batch_in, res.model).collect()}
     assert streamed == batch and len(batch) > 0
+
+
+def test_save_evaluation_files(spark, gate, tmp_path):
+    from textgate.plans.training import save_evaluation
+
+    res, root = gate
+    test = spark.read.parquet(f"{root}/splits").filter(F.col("split") == "test")
+    out = str(tmp_path / "eval")
+    save_evaluation(evaluate_model(test, res.model), out)
+    rep = spark.read.option("header", True).csv(f"{out}/classification_report")
+    assert rep.columns == ["class", "precision", "recall", "f1-score", "support"]
+    assert [r["class"] for r in rep.collect()][-3:] == ["accuracy", "macro avg", "weighted avg"]
+    cm = spark.read.option("header", True).csv(f"{out}/confusion_matrix")
+    assert cm.columns == ["label", "no_valida", "valida"]
+    assert spark.read.json(f"{out}/metrics").columns == ["accuracy", "f1_macro"]

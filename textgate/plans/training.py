@@ -198,6 +198,17 @@ def evaluate_model(test: DataFrame, model: GateModel, text: str = "text", label:
         scored=scored)
 
 
+def save_evaluation(ev: Evaluation, path: str) -> None:
+    """Persist what the reference's evaluation writes: metrics JSON, report, misclassified rows
+    and the confusion matrix (CSV)."""
+    from textgate.sources import writers as W
+
+    W.write_metrics(ev.metrics, f"{path}/metrics")
+    W.write_report(ev.report, f"{path}/classification_report")
+    W.write_misclassified(ev.misclassified.drop("predicted_id"), f"{path}/misclassified_examples")
+    W.write_confusion(ev.confusion, f"{path}/confusion_matrix")
+
+
 def load_gate(spark: SparkSession, path: str) -> GateModel:
     """Load an exported gate; error when it is absent."""
     from textgate.sources.readers import read_label_map

@@ -70,17 +70,24 @@ def write_history(history: DataFrame, path: str) -> bool:
     return True
 
 
+def write_ordered(df: DataFrame, path: str, order: Sequence[str], drop: Sequence[str] = ("row_order",)) -> None:
+    """A K-sized table as one CSV file, rows sorted by ``order``, helper columns dropped."""
+    out = df.orderBy(*order).coalesce(1)
+    write_table(out.drop(*drop), path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
-    """The classification report, row names first (``class``), then the four columns."""
+    """The classification report: row names first (``class``), then precision, recall, f1-score,
+    support, in report order."""
     by = [c for c in report.columns if c not in ("row_order", "class", "precision", "recall", "f1_score", "support")]
-    out = report.select(*by, "row_order", "class", "precision", "recall",
-                        F.col("f1_score").alias("f1-score"), "support")
-    write_small(out, path, (*by, "row_order"))
+    out = report.select(*by, "class", "precision", "recall", F.col("f1_score").alias("f1-score"), "support",
+                        "row_order")
+    write_ordered(out, path, (*by, "row_order"))
 
 
 def write_confusion(matrix: DataFrame, path: str) -> None:
-    """The confusion matrix, truth names in the first column."""
-    write_small(matrix, path, ("row_order",))
+    """The confusion matrix, truth names in the first column, rows in label order."""
+    write_ordered(matrix, path, ("row_order",))
 
 
 def write_misclassified(rows: DataFrame, path: str) -> None:

@@ -320,10 +320,10 @@ def q_evaluate_per_split(spark, sf):
 
 @query
 def q_tokenise(spark, sf):
-    df = E.tokenise(cleaned(spark, sf))
-    return df.select("doc_id", F.array_join("input_tokens", " ").alias("tokens"),
-                     F.size("input_tokens").alias("n_tokens"),
-                     F.size(X.tokens("text", None)).alias("n_tokens_full"))
+    df = E.tokenise(cleaned(spark, sf), out="all_tokens", max_length=None)
+    cut = F.slice("all_tokens", 1, E.MAX_LENGTH)
+    return df.select("doc_id", F.array_join(cut, " ").alias("tokens"), F.size(cut).alias("n_tokens"),
+                     F.size("all_tokens").alias("n_tokens_full"))
 
 
 @query

@@ -118,7 +118,7 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
         # Candidates are independent jobs: fit them concurrently, as pyspark.ml's tuning classes
         # do with ``parallelism`` (the scheduler shares the executors among them).
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(epochs)))) as pool:
-            done = list(pool.map(inheritable_thread_target(fit_one), [int(e) for e in epochs]))
+            done = list(pool.map(inheritable_thread_target(spark)(fit_one), [int(e) for e in epochs]))
     finally:
         train_tf.unpersist()
         val_x.unpersist()

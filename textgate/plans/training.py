@@ -87,8 +87,8 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
                      num_features: int = NUM_FEATURES, parallelism: int = 4) -> tuple[DataFrame, dict[int, GateModel]]:
     """One candidate per epoch count, each scored on ``validation``.
 
-    Reads ``train`` twice (label domain; token counts, kept in memory for the IDF fit and every
-    candidate) and ``validation`` once. Returns the history ``(epoch, accuracy, f1_macro, loss)``
+    Reads ``train`` twice (label domain; token counts for the IDF fit, from which the persisted
+    feature table every candidate shares is made) and ``validation`` once. Returns the history ``(epoch, accuracy, f1_macro, loss)``
     and the fitted candidates.
     """
     spark = train.sparkSession
@@ -99,7 +99,11 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
     train_tf = tf.transform(tok.transform(indexer.transform(train))).select("label_id", "tf").persist()
     idf_model = idf.fit(train_tf)
     feats = [tok, tf, idf_model]
-    train_x = idf_model.transform(train_tf).select("label_id", "features")
+    # One persisted feature table shared by every candidate: LogisticRegression keeps its own
+    # copy of the instances only when its input is not persisted.
+    train_x = idf_model.transform(train_tf).select("label_id", "features").persist()
+    train_x.count()
+    train_tf.unpersist()
     val_x = idf_model.transform(tf.transform(tok.transform(indexer.transform(validation)))) \
         .select("label_id", "features").persist()
     def fit_one(ep: int):
@@ -120,7 +124,7 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(epochs)))) as pool:
             done = list(pool.map(inheritable_thread_target(spark)(fit_one), [int(e) for e in epochs]))
     finally:
-        train_tf.unpersist()
+        train_x.unpersist()
         val_x.unpersist()
     rows = [r for r, _ in done]
     models = {r[0]: g for r, g in done}

@@ -24,9 +24,13 @@ CSV_OPTIONS = {"header": "true", "inferSchema": "false", "escape": '"', "quote":
                "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_labelled(spark: SparkSession, path: str, sep: str = RAW_SEP) -> DataFrame:
-    """Delimited UTF-8 text (a leading BOM is dropped), header-named string columns, cleaned names."""
-    df = spark.read.options(**CSV_OPTIONS, sep=sep).csv(path)
+def read_labelled(spark: SparkSession, path: str, sep: str = RAW_SEP, multi_line: bool = True) -> DataFrame:
+    """Delimited UTF-8 text (a leading BOM is dropped), header-named string columns, cleaned names.
+
+    ``multi_line=True`` allows quoted newlines but reads each file in one task; input known to be
+    one record per line can pass ``False`` and be split across tasks.
+    """
+    df = spark.read.options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower()}, sep=sep).csv(path)
     return C.require_columns(C.clean_header(df))
 
 
@@ -45,9 +49,9 @@ def detect_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] =
     return best[2] if best[0] > 0 else default
 
 
-def read_labelled_auto(spark: SparkSession, path: str) -> DataFrame:
+def read_labelled_auto(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Same as ``read_labelled`` with the delimiter detected from the header."""
-    return read_labelled(spark, path, detect_delimiter(spark, path))
+    return read_labelled(spark, path, detect_delimiter(spark, path), multi_line)
 
 
 def load_dataset(spark: SparkSession, path: str, sep: str | None = RAW_SEP, key: str | None = None,

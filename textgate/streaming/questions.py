@@ -15,12 +15,15 @@ from textgate.operators.clean import drop_blank_asks, drop_control_words
 
 
 def read_questions(spark: SparkSession, path: str, schema, fmt: str = "parquet",
-                   role: str | None = "user", glob: str | None = None) -> DataFrame:
+                   role: str | None = "user", glob: str | None = None,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream of question rows from the files of a folder (``glob`` picks file names); with
-    ``role`` set, only that speaker's turns."""
+    ``role`` set, only that speaker's turns. ``max_files_per_trigger`` bounds each micro-batch."""
     r = spark.readStream.schema(schema).format(fmt)
     if glob:
         r = r.option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     s = r.load(path)
     return s.filter(F.col("role") == role) if role else s
 

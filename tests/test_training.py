@@ -93,3 +93,10 @@ def test_save_evaluation_files(spark, gate, tmp_path):
     cm = spark.read.option("header", True).csv(f"{out}/confusion_matrix")
     assert cm.columns == ["label", "no_valida", "valida"]
     assert spark.read.json(f"{out}/metrics").columns == ["accuracy", "f1_macro"]
+
+
+def test_score_ignores_unseen_labels(spark, gate):
+    res, _ = gate
+    df = spark.createDataFrame([(1, "texto nuevo", "otra"), (2, "otro texto", None)], "doc_id int, text string, label string")
+    out = score(df, res.model).collect()
+    assert [r.label for r in out] == ["otra", None] and all(r.predicted_label for r in out)

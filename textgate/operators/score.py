@@ -47,7 +47,7 @@ def score(df: DataFrame, model, text: str = "text", keep: Sequence[str] | None =
     """
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.pipeline.transform(df.withColumnRenamed(text, model.text_col) if text != model.text_col else df)
+    scored = model.scorer.transform(df.withColumnRenamed(text, model.text_col) if text != model.text_col else df)
     drop = [c for c in ("tokens", "tf", "features", "rawPrediction", "prediction", "label_id") if c in scored.columns
             and c not in df.columns]
     scored = scored.withColumn("class_probs", vector_to_array("probability", "float64")).drop("probability", *drop)
@@ -64,7 +64,7 @@ def score(df: DataFrame, model, text: str = "text", keep: Sequence[str] | None =
 
 
 def score_with_model(df: DataFrame, make_predict_fn: Callable, input_col: str, labels: Sequence[str],
-                     n_classes: int | None = None, input_shape: Sequence[int] | None = None,
+                     input_shape: Sequence[int] | None = None,
                      batch_size: int = 8, out: str = "logits") -> DataFrame:
     """Logits from a caller-supplied batch predictor, then ``score_logits``.
 

@@ -50,6 +50,13 @@ class GateModel:
     text_col: str = "text"
     label_col: str = "label"
 
+    @property
+    def scorer(self) -> PipelineModel:
+        """The pipeline without its label indexer: scoring never reads the label column."""
+        from pyspark.ml.feature import StringIndexerModel
+
+        return PipelineModel(stages=[s for s in self.pipeline.stages if not isinstance(s, StringIndexerModel)])
+
     def save(self, path: str) -> None:
         from textgate.sources.writers import write_label_map
 

@@ -27,10 +27,9 @@ def get_spark(master: str | None = None, app: str = "textgate", **conf: str) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        # Partition sizing: ~128 MB input splits (about 50k documents of 2.5 kB) and ~128 MB
-        # post-shuffle partitions; AQE coalesces small shuffle outputs and splits skewed ones.
+        # Partition sizing: ~128 MB input splits (about 50k documents of 2.5 kB); AQE coalesces
+        # small shuffle outputs toward its advisory size and splits skewed ones.
         "spark.sql.files.maxPartitionBytes": "128m",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     }
     defaults.update(conf)
     for k, v in defaults.items():

@@ -65,15 +65,16 @@ def load_dataset(spark: SparkSession, path: str, sep: str | None = RAW_SEP, key:
 def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLIT_NAMES, fmt: str = "parquet",
                 split_col: str = "split") -> DataFrame | None:
     """The stored splits as one DataFrame with ``split`` discovered from the folder names, or ``None``
-    unless every named split is present (checked on the file listing; no job runs)."""
+    unless every named split folder exists (each is resolved by the reader; no job scans data)."""
+    from pyspark.errors import AnalysisException
+
+    reader = spark.read.options(**CSV_OPTIONS, sep=",") if fmt == "csv" else spark.read
     try:
-        reader = spark.read.options(**CSV_OPTIONS, sep=",") if fmt == "csv" else spark.read
-        df = reader.format(fmt).load(path)
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - a missing folder means "no stored splits"
+        for n in names:
+            reader.format(fmt).load(f"{path.rstrip('/')}/{split_col}={n}")
+        return reader.format(fmt).load(path)
+    except AnalysisException:
         return None
-    present = {n for n in names if any(f"/{split_col}={n}/" in f for f in files)}
-    return df if present == set(names) else None
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:

@@ -28,6 +28,16 @@ def read_questions(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return s.filter(F.col("role") == role) if role else s
 
 
+def read_question_lines(spark: SparkSession, path: str, text: str = "text",
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of raw question lines (one question per line, as typed at a prompt), with the
+    file each came from; no key exists for such input."""
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return r.load(path).select(F.col("value").alias(text), F.input_file_name().alias("source_file"))
+
+
 def clean_questions(stream: DataFrame, text: str = "text") -> DataFrame:
     return drop_control_words(drop_blank_asks(stream, text), text)
 

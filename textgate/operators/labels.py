@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_CLASSES = 10_000
 
@@ -21,13 +22,20 @@ def distinct_labels(df: DataFrame, label: str = "label") -> DataFrame:
     return df.select(label).distinct().orderBy(label)
 
 
-def build_label_map(df: DataFrame, label: str = "label", id_col: str = "id") -> DataFrame:
+def build_label_map(df: DataFrame, label: str = "label", id_col: str = "id",
+                    max_classes: int = MAX_CLASSES) -> DataFrame:
     """Sorted distinct labels numbered 0..K-1.
 
-    The ranking window has no partition key, but it runs on the K distinct labels only.
+    The distinct labels are aggregated on the executors (partial aggregation) and only the K
+    class names, checked against ``max_classes``, come to the driver to be numbered.
     """
-    d = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    return d.select(label, (F.row_number().over(Window.orderBy(label)) - 1).cast("int").alias(id_col))
+    names = [r[0] for r in df.select(label).filter(F.col(label).isNotNull()).distinct()
+             .limit(max_classes + 1).collect()]
+    if len(names) > max_classes:
+        raise ValueError(f"'{label}' has more than {max_classes} distinct values; not a class column")
+    ltype = df.schema[label].dataType
+    schema = T.StructType([T.StructField(label, ltype), T.StructField(id_col, T.IntegerType())])
+    return df.sparkSession.createDataFrame([(n, i) for i, n in enumerate(sorted(names))], schema)
 
 
 def collect_labels(label_map: DataFrame | Sequence[str], label: str = "label", id_col: str = "id",

@@ -10,7 +10,6 @@ aggregation, and the history table drives the choice. ``HashingTF`` needs no voc
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -232,7 +231,3 @@ def load_gate(spark: SparkSession, path: str) -> GateModel:
     labels = [r["label"] for r in lm.orderBy("id").collect()]
     meta = spark.read.json(f"{path}/meta").first()
     return GateModel(pipe, labels, meta["text_col"], meta["label_col"])
-
-
-def history_json(history: DataFrame) -> str:
-    return json.dumps([r.asDict() for r in history.orderBy("epoch").collect()])

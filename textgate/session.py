@@ -7,7 +7,6 @@ create a local folder and register it as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -54,12 +53,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder (never reused between runs)."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/textgate/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python writers can use the path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -50,3 +50,10 @@ def test_shipped_splits_are_disjoint_and_complete(spark):
     raw = {r.text for r in R.read_labelled(spark, RAW).collect()}
     assert not (texts["train"] & texts["validation"]) and not (texts["train"] & texts["test"])
     assert texts["train"] | texts["validation"] | texts["test"] == raw
+
+
+def test_read_split_files_layout(spark, tmp_path):
+    s = R.read_split_files(spark, SPLITS)
+    assert s is not None and s.count() == 400
+    assert {r.split: r["count"] for r in s.groupBy("split").count().collect()} == {"train": 280, "validation": 60, "test": 60}
+    assert R.read_split_files(spark, str(tmp_path)) is None

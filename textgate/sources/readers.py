@@ -77,6 +77,24 @@ def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLIT_NAM
         return None
 
 
+def read_split_files(spark: SparkSession, folder: str, names: Sequence[str] = SPLIT_NAMES, sep: str = ",",
+                     ext: str = ".csv", split_col: str = "split") -> DataFrame | None:
+    """Splits stored as one delimited file per split (``train.csv``, ``validation.csv``,
+    ``test.csv``) as one DataFrame with a ``split`` column, or ``None`` unless all exist."""
+    from pyspark.errors import AnalysisException
+
+    parts = []
+    try:
+        for n in names:
+            parts.append(read_labelled(spark, f"{folder.rstrip('/')}/{n}{ext}", sep).withColumn(split_col, F.lit(n)))
+    except AnalysisException:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
     """``(label, id)`` rows from a ``{"label2id": {...}, "id2label": {...}}`` JSON document."""
     raw = (spark.read.schema("label2id map<string,int>, id2label map<string,string>")

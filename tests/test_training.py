@@ -122,3 +122,13 @@ def test_macro_f1_evaluator(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (2.0, 2.0), (2.0, 1.0)], "label_id double, prediction double")
     f1 = MacroF1Evaluator().evaluate(df)
     assert abs(f1 - (2 / 3 + 0 + 2 / 3) / 3) < 1e-12
+
+
+def test_score_texts_record_shape(spark, gate):
+    from textgate.operators.score import score_texts
+
+    res, _ = gate
+    out = score_texts(spark, res.model, ["¿Cuál es el horario?", "hola"])
+    assert [r["text"] for r in out] == ["¿Cuál es el horario?", "hola"]
+    assert all(set(r) == {"text", "predicted_label", "confidence", "probabilities"} for r in out)
+    assert all(abs(r["confidence"] - max(r["probabilities"].values())) < 1e-12 for r in out)

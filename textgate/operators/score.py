@@ -81,3 +81,11 @@ def score_with_model(df: DataFrame, make_predict_fn: Callable, input_col: str, l
 def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
     """Apply ``fn(Iterator[pandas.DataFrame]) -> Iterator[pandas.DataFrame]`` to Arrow batches."""
     return df.mapInPandas(fn, schema)
+
+
+def score_texts(spark, model, texts: Sequence[str]) -> list[dict]:
+    """Score a handful of typed questions (the single-text entry point): one record per text with
+    ``text``, ``predicted_label``, ``confidence`` and ``probabilities``, in input order."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "_pos int, text string")
+    rows = score(df, model).orderBy("_pos").select("text", "predicted_label", "confidence", "probabilities").collect()
+    return [r.asDict() for r in rows]

@@ -132,3 +132,14 @@ def test_score_texts_record_shape(spark, gate):
     assert [r["text"] for r in out] == ["¿Cuál es el horario?", "hola"]
     assert all(set(r) == {"text", "predicted_label", "confidence", "probabilities"} for r in out)
     assert all(abs(r["confidence"] - max(r["probabilities"].values())) < 1e-12 for r in out)
+
+
+def test_train_gate_checks_before_training(spark):
+    rows = [(i, "texto" if i % 9 else "  ", "valida" if i % 2 else "no_valida") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label string")
+    with pytest.raises(ValueError, match="blank rows"):
+        train_gate(df, "doc_id")
+    bad = spark.createDataFrame([(i, "texto", "otra" if i == 3 else "valida") for i in range(40)],
+                                "doc_id bigint, text string, label string")
+    with pytest.raises(ValueError, match="otra"):
+        train_gate(bad, "doc_id")

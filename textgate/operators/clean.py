@@ -144,16 +144,34 @@ def quality_summary(df: DataFrame, text: str = "text", label: str = "label",
     )
 
 
+def quality_flags(text: str = "text", label: str = "label", allowed: Sequence[str] = ALLOWED_LABELS) -> dict:
+    """The load checks as two boolean columns, to be written beside the rows on a pass that runs
+    anyway; counting them later reads two one-bit columns instead of the texts."""
+    ok = F.coalesce(F.col(label).isin(list(allowed)), F.lit(False))
+    return {"_blank_row": is_blank(text) | is_blank(label), "_bad_label": ~ok}
+
+
+def count_flags(df: DataFrame) -> dict:
+    r = df.agg(F.count_if("_blank_row").alias("n_blank"), F.count_if("_bad_label").alias("n_bad_label_rows")).first()
+    return r.asDict()
+
+
+def raise_on_quality(df: DataFrame, counts, text: str = "text", label: str = "label",
+                     allowed: Sequence[str] = ALLOWED_LABELS, key: str | Sequence[str] | None = None) -> None:
+    """Raise from check counts (``n_blank``, ``n_bad_label_rows``); the preview rows or the sorted
+    bad labels are read from ``df`` only then."""
+    if counts["n_blank"]:
+        rows = preview_rows(df.filter(is_blank(text) | is_blank(label)), key, 5).collect()
+        raise ValueError(f"the dataset contains blank rows. Examples: {[r.asDict() for r in rows]}")
+    if counts["n_bad_label_rows"]:
+        validate_labels(df, label, allowed)
+
+
 def check_quality(df: DataFrame, text: str = "text", label: str = "label",
                   allowed: Sequence[str] = ALLOWED_LABELS, key: str | Sequence[str] | None = None) -> DataFrame:
     """Both load checks from one scan (``quality_summary``); the preview rows or the sorted bad
     labels are fetched only when a check fails. Returns ``df`` unchanged."""
-    s = quality_summary(df, text, label, allowed).first()
-    if s["n_blank"]:
-        rows = preview_rows(df.filter(is_blank(text) | is_blank(label)), key, 5).collect()
-        raise ValueError(f"the dataset contains blank rows. Examples: {[r.asDict() for r in rows]}")
-    if s["n_bad_label_rows"]:
-        validate_labels(df, label, allowed)
+    raise_on_quality(df, quality_summary(df, text, label, allowed).first(), text, label, allowed, key)
     return df
 
 

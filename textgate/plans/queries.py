@@ -523,7 +523,8 @@ def q_save_model(spark, sf):
 
 
 def _test_split(spark, root):
-    return spark.read.parquet(f"{root}/splits").filter(F.col("split") == "test")
+    stored = spark.read.parquet(f"{root}/splits")
+    return stored.drop(*C.quality_flags()).filter(F.col("split") == "test")
 
 
 @query

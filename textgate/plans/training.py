@@ -162,14 +162,21 @@ class TrainResult:
 def train_gate(df: DataFrame, key: str, text: str = "text", label: str = "label", seed: int = SEED,
                epochs: Sequence[int] = tuple(range(1, EPOCHS + 1)), save_to: str | None = None,
                allowed: Sequence[str] = C.ALLOWED_LABELS) -> TrainResult:
-    """Normalise → validate → split → label map → candidates → keep the best → save."""
-    filled = C.load_clean(df, text, label)
-    C.check_quality(C.normalise(filled, None, label), text, label, allowed, key=key)
-    clean = C.normalise(filled, text, label)
+    """Normalise → validate → split → label map → candidates → keep the best → save.
+
+    The blank-row and label checks are written as two boolean columns beside the split table,
+    so the texts are read once before training; counting the flags reads those two columns only,
+    and the checks still raise, with the same messages, before any candidate is fitted.
+    """
     from textgate.session import scratch_path
 
+    clean = C.normalise(C.load_clean(df, text, label), text, label)
     root = save_to or scratch_path(df.sparkSession, "gate")
-    splits = materialise_splits(SP.stratified_split(clean, key, label, seed=seed), f"{root}/splits")
+    plan = SP.stratified_split(clean, key, label, seed=seed)
+    flags = C.quality_flags(text, label, allowed)
+    flagged = materialise_splits(plan.withColumns(flags), f"{root}/splits")
+    C.raise_on_quality(flagged, C.count_flags(flagged), text, label, allowed, key)
+    splits = flagged.drop(*flags)
     train = splits.filter(F.col("split") == "train")
     valid = splits.filter(F.col("split") == "validation")
     history, models = train_candidates(train, valid, text, label, epochs)

@@ -26,7 +26,7 @@ def score_logits(df: DataFrame, labels: Sequence[str], logits: str = "logits", k
     out = df.withColumn(prob_col, softmax(logits))
     out = out.withColumn("predicted_id", argmax_class(prob_col))
     out = out.withColumns({
-        "predicted_label": F.element_at(label_array(labels), F.col("predicted_id") + 1),
+        "predicted_label": F.try_element_at(label_array(labels), F.col("predicted_id") + 1),
         "confidence": confidence(prob_col, "predicted_id"),
         "probabilities": probability_map(prob_col, labels),
     })

@@ -359,3 +359,12 @@ oracle("save_model", ORACLE["build_label_map"])
 # ---------------------------------------------------------------- 2.12 streaming
 
 oracle("stream_clean", ORACLE["drop_control_words"])
+
+# ---------------------------------------------------------------- the end-to-end slice (entry)
+
+oracle("split_profile", split_sql(DEFAULT_FRACTIONS).replace(
+    "SELECT r.doc_id, r.label, CASE", "SELECT r.doc_id, r.label, c.text, CASE").replace(
+    "FROM ranked r JOIN", "FROM ranked r JOIN clean c ON r.doc_id = c.doc_id JOIN").replace(
+    "WITH ", "WITH split_rows AS (WITH ", 1) + """)
+SELECT split, label, CAST(count(*) AS BIGINT) AS n, round(avg(length(text)), 6) AS mean_chars
+FROM split_rows GROUP BY split, label""")

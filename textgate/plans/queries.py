@@ -583,3 +583,12 @@ def q_stream_score(spark, sf):
     sink, ckpt = _scratch(spark, "stream-score"), _scratch(spark, "stream-score-ckpt")
     stream_score(spark, src, schema, res.model, sink, ckpt, glob="conversations.parquet").awaitTermination()
     return spark.read.parquet(sink).select("conv_id", "turn", "predicted_label", r6("confidence").alias("confidence"))
+
+
+# ---------------------------------------------------------------- the end-to-end slice (entry)
+
+@query
+def q_split_profile(spark, sf):
+    from textgate.plans.flagship import split_profile
+
+    return split_profile(spark, sf)

@@ -45,3 +45,22 @@ def test_split_invariants(spark, counts, weights):
         mine = [r.split for r in got if r.label == lbl]
         deeper = [sum(1 for s in mine if s in names[j + 1:]) for j in range(len(names) - 1)]
         assert deeper == q
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.integers(0, 4), st.integers(0, 4)), min_size=1, max_size=40))
+def test_report_matches_sklearn_semantics(spark, pairs):
+    import math
+
+    from test_metrics import sk_report
+
+    from textgate.operators import metrics as M
+
+    truth, pred = [p[0] for p in pairs], [p[1] for p in pairs]
+    df = spark.createDataFrame(pairs, "label int, pred int")
+    got = {r["class"]: (r.precision, r.recall, r.f1_score, r.support)
+           for r in M.classification_report(df, "label", "pred").collect()}
+    exp = sk_report(truth, pred)
+    assert set(got) == set(exp)
+    for k, v in exp.items():
+        assert all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[k], v)), (k, got[k], v)

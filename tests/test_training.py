@@ -86,7 +86,9 @@ def test_save_evaluation_files(spark, gate, tmp_path):
     res, root = gate
     test = spark.read.parquet(f"{root}/splits").filter(F.col("split") == "test")
     out = str(tmp_path / "eval")
-    save_evaluation(evaluate_model(test, res.model), out)
+    ev = evaluate_model(test, res.model)
+    save_evaluation(ev, out)
+    ev.release()
     rep = spark.read.option("header", True).csv(f"{out}/classification_report")
     assert rep.columns == ["class", "precision", "recall", "f1-score", "support"]
     assert [r["class"] for r in rep.collect()][-3:] == ["accuracy", "macro avg", "weighted avg"]

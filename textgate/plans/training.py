@@ -197,6 +197,12 @@ class Evaluation:
     confusion: DataFrame
     misclassified: DataFrame
     scored: DataFrame
+    conf: DataFrame
+
+    def release(self) -> None:
+        """Drop the cached scored rows and confusion table once the outputs are written."""
+        self.scored.unpersist()
+        self.conf.unpersist()
 
 
 def evaluate_model(test: DataFrame, model: GateModel, text: str = "text", label: str = "label") -> Evaluation:
@@ -212,7 +218,7 @@ def evaluate_model(test: DataFrame, model: GateModel, text: str = "text", label:
         report=M.report_from_confusion(conf),
         confusion=M.confusion_matrix(conf, sorted(model.labels)),
         misclassified=M.misclassified(scored.drop("probabilities"), label, "predicted_label"),
-        scored=scored)
+        scored=scored, conf=conf)
 
 
 def save_evaluation(ev: Evaluation, path: str) -> None:

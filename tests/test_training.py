@@ -145,3 +145,12 @@ def test_train_gate_checks_before_training(spark):
                                 "doc_id bigint, text string, label string")
     with pytest.raises(ValueError, match="otra"):
         train_gate(bad, "doc_id")
+
+
+def test_stored_splits_read_back_clean(spark, gate):
+    from textgate.sources.readers import read_splits
+
+    res, root = gate
+    back = read_splits(spark, f"{root}/splits")
+    assert set(back.columns) == set(res.splits.columns)
+    assert back.count() == res.splits.count()

@@ -72,9 +72,11 @@ def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLIT_NAM
     try:
         for n in names:
             reader.format(fmt).load(f"{path.rstrip('/')}/{split_col}={n}")
-        return reader.format(fmt).load(path)
+        df = reader.format(fmt).load(path)
     except AnalysisException:
         return None
+    # split tables written by ``train_gate`` carry its two load-check flags (all false)
+    return df.drop(*[c for c in C.quality_flags() if c in df.columns])
 
 
 def read_split_files(spark: SparkSession, folder: str, names: Sequence[str] = SPLIT_NAMES, sep: str = ",",

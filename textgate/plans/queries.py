@@ -9,9 +9,11 @@ control words) are injected with a ``CASE`` on the key, never by filtering rows
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,10 @@ from textgate.operators import score as S
 from textgate.operators import split as SP
 from textgate.plans import fixtures as fx
 
+# The batch functions below run in Python workers; shipping this module's functions by value
+# means a worker needs only pandas / numpy, not this package on its path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 

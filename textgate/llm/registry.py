@@ -3,11 +3,20 @@
 from __future__ import annotations
 
 from textgate.llm.exact_dedup import OP4_SQL, op4
+from textgate.llm.mixing import OP5_SQL, op5
+from textgate.llm.pieces import op7
+from textgate.llm.quality import op9
+from textgate.llm.simhash import op10
 
 QUERIES = {
     "op4_exact_dedup": op4,
+    "op5_source_mixing": op5,
+    "op7_pieces": op7,
+    "op9_quality_classifier": op9,
+    "op10_simhash": op10,
 }
 
 ORACLE = {
     "op4_exact_dedup": OP4_SQL,
+    "op5_source_mixing": OP5_SQL,
 }

@@ -79,6 +79,19 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
         "b.*", F.coalesce(F.when(nearer, F.col("prefix") + 1).otherwise(F.col("prefix")), whole).alias("below"))
 
 
+def _cuts(rows: DataFrame, weights: tuple[float, ...], share: float, most: int) -> DataFrame:
+    """Per source of ``rows`` (source, size, h): ``of`` (the source), source_size, target, times, below."""
+    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    goal = materialise(goal.withColumn("times", times).withColumn("budget", F.col("target") - F.col("times") * F.col("source_size")), "targets")
+    return materialise(thresholds(rows, goal).select(F.col("source").alias("of"), "source_size", "target", "times", "below"), "cuts")
+
+
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return materialise(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"),
+                                   stable_hash(id_col).alias("h")), "sizes")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, source, size, source_size, target, taken.
@@ -90,17 +103,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     together. Null and empty texts have size 0. Null sources are a source of their own, the last.
     An empty table gives an empty one. Texts are read once; all else works on (id, source, size, hash).
     """
-    rows = materialise(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), size_of(text_col).alias("size"),
-                                   stable_hash(id_col).alias("h")), "sizes")
-    goal = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    goal = materialise(goal.withColumn("times", times).withColumn("budget", F.col("target") - F.col("times") * F.col("source_size")), "targets")
-    cut = materialise(thresholds(rows, goal), "cuts").withColumnRenamed("source", "of")
+    rows = _sizes(docs, id_col, text_col, source_col)
+    cut = _cuts(rows, weights, share, most)
     return rows.join(cut, rows["source"].eqNullSafe(cut["of"])).select(
         F.col("id").alias(id_col), "source", "size", "source_size", "target",
         (F.col("size") * (F.col("times") + (F.col("h") < F.col("below")).cast("long"))).alias("taken"))
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """The mix itself: each row of ``docs``, all columns, as often as ``mix`` takes it.
+
+    The thresholds, a row per source, meet the documents where they are: no text is shuffled.
+    """
+    cut = _cuts(_sizes(docs, id_col, text_col, source_col), weights, share, most).select(
+        F.struct("of", "times", "below").alias("_cut"))
+    copies = F.col("_cut.times") + (stable_hash(id_col) < F.col("_cut.below")).cast("long")
+    return docs.join(cut, docs[source_col].eqNullSafe(cut["_cut.of"])) \
+        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).select(*[docs[f"`{c}`"] for c in docs.columns])
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from textgate.plans.fixtures import table
 

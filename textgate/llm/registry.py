@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from textgate.llm.cover_tree import OP8_SQL, op8
 from textgate.llm.exact_dedup import OP4_SQL, op4
+from textgate.llm.language_model import op1
 from textgate.llm.mixing import OP5_SQL, op5
 from textgate.llm.pieces import op7
 from textgate.llm.quality import op9
+from textgate.llm.sharding import op2
 from textgate.llm.simhash import op10
 
 QUERIES = {
+    "op1_gated_lm": op1,
+    "op2_jump_sharding": op2,
     "op4_exact_dedup": op4,
     "op5_source_mixing": op5,
     "op7_pieces": op7,
+    "op8_cover_tree": op8,
     "op9_quality_classifier": op9,
     "op10_simhash": op10,
 }
@@ -19,4 +25,5 @@ QUERIES = {
 ORACLE = {
     "op4_exact_dedup": OP4_SQL,
     "op5_source_mixing": OP5_SQL,
+    "op8_cover_tree": OP8_SQL,
 }

@@ -8,14 +8,18 @@ from textgate.llm.language_model import op1
 from textgate.llm.mixing import OP5_SQL, op5
 from textgate.llm.pieces import op7
 from textgate.llm.quality import op9
+from textgate.llm.secrets import op3
 from textgate.llm.sharding import op2
 from textgate.llm.simhash import op10
+from textgate.llm.surrogates import op6
 
 QUERIES = {
     "op1_gated_lm": op1,
     "op2_jump_sharding": op2,
+    "op3_secret_scan": op3,
     "op4_exact_dedup": op4,
     "op5_source_mixing": op5,
+    "op6_surrogates": op6,
     "op7_pieces": op7,
     "op8_cover_tree": op8,
     "op9_quality_classifier": op9,

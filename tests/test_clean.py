@@ -5,19 +5,25 @@ from textgate.functions import text as X
 from textgate.operators import clean as C
 
 
-def test_normalise_reference_case(spark):
-    df = spark.createDataFrame([(" Hola   mundo ", "VALIDA", "General")], "text string, label string, subtype string")
-    row = C.normalise(df).first()
-    assert row.text == "Hola mundo"
-    assert row.label == "valida"
-    assert row.subtype == "general"
+def test_normalise_cleans_each_column_its_way(spark):
+    rows = [("\t¿Qué  día \n es?", " No_Valida\t", "\nTrámites  LOCALES "), (" x\u00a0 y", "vaLIDA", None)]
+    df = spark.createDataFrame(rows, "text string, label string, subtype string")
+    got = {tuple(r) for r in C.normalise(C.default_subtype(df)).select("text", "label", "subtype").collect()}
+    assert got == {("¿Qué día es?", "no_valida", "trámites  locales"), ("x y", "valida", "sin_subtipo")}
 
 
-def test_validate_labels_accepts_binary(spark):
-    df = spark.createDataFrame([("A", "valida", "x"), ("B", "no_valida", "y")], "text string, label string, subtype string")
+def test_validate_labels_returns_the_frame(spark):
+    df = spark.createDataFrame([(i, "valida" if i % 4 else "no_valida") for i in range(9)], "doc_id int, label string")
     assert C.validate_labels(df) is df
 
 
+def test_validate_labels_lists_all_bad_ones(spark):
+    df = spark.createDataFrame([(f"bad{i:04d}",) for i in range(1500)], "label string")
+    with pytest.raises(ValueError, match="1500 unsupported labels.*bad0000.*bad0099.*others in ") as e:
+        C.validate_labels(df)
+    assert spark.read.parquet(str(e.value).rsplit(" ", 1)[1]).count() == 1500
+
+
 def test_validate_labels_rejects_sorted(spark):
     df = spark.createDataFrame([("A", "valida"), ("B", "otra"), ("C", "zz"), ("D", None)], "text string, label string")
     with pytest.raises(ValueError) as e:

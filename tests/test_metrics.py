@@ -13,9 +13,10 @@ def metrics_of(spark, logits, labels):
     return M.metrics_from_confusion(M.confusion_counts(df, "label", "pred")).first()
 
 
-def test_compute_metrics_reference_case(spark):
-    m = metrics_of(spark, [[0.9, 0.1], [0.2, 0.8]], [0, 1])
-    assert m.accuracy == 1.0 and m.f1_macro == 1.0
+def test_metrics_from_logits_by_hand(spark):
+    m = metrics_of(spark, [[3.0, 1.0, 2.0], [0.5, 0.4, 4.0], [-1.0, 2.5, 0.0], [6.0, 5.0, 4.0]], [0, 2, 1, 2])
+    # class 0: 1 of 1 found in 2 guesses; class 1: exact; class 2: 1 of 2 found in 1 guess
+    assert m.accuracy == 0.75 and math.isclose(m.f1_macro, (2 / 3 + 1 + 2 / 3) / 3)
 
 
 def sk_report(truth, pred, labels=None):

@@ -110,20 +110,12 @@ def test_line_stream_clean_and_score(spark, gate, tmp_path):
     res, _ = gate
     src = tmp_path / "in"
     src.mkdir()
-    (src / "a.txt").write_text("¿Dónde pago el permiso?\n  \nSalir\n EXIT \nhorario de la biblioteca \n", encoding="utf-8")
+    (src / "a.txt").write_text("¿A qué hora abre la piscina?\n  \nSalir\n EXIT \nhorario de la biblioteca \n", encoding="utf-8")
     lines = clean_questions(read_question_lines(spark, str(src)))
     sink, ckpt = scratch_path(spark, "lines"), scratch_path(spark, "lines-ckpt")
     start_sink(score(lines, res.model).drop("class_probs"), sink, ckpt).awaitTermination()
     got = sorted(r.text for r in spark.read.parquet(sink).collect())
-    assert got == ["horario de la biblioteca", "¿Dónde pago el permiso?"]
-
-
-def test_macro_f1_evaluator(spark):
-    from textgate.plans.training import MacroF1Evaluator
-
-    df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (2.0, 2.0), (2.0, 1.0)], "label_id double, prediction double")
-    f1 = MacroF1Evaluator().evaluate(df)
-    assert abs(f1 - (2 / 3 + 0 + 2 / 3) / 3) < 1e-12
+    assert got == sorted(["horario de la biblioteca", "¿A qué hora abre la piscina?"])
 
 
 def test_score_texts_record_shape(spark, gate):

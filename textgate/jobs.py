@@ -2,7 +2,7 @@
 
     python -m textgate.jobs train    --input raw.csv --sep ';' --out OUT [--key doc_id]
     python -m textgate.jobs evaluate --out OUT
-    python -m textgate.jobs predict  --out OUT --text "¿Dónde pago el permiso?" [--text ...]
+    python -m textgate.jobs predict  --out OUT --text "¿A qué hora abre la biblioteca?" [--text ...]
     python -m textgate.jobs stream   --out OUT --source DIR --sink DIR [--once]
 
 Everything runs as Spark jobs; the session is the one ``spark-submit`` provides (or a local one).
@@ -20,25 +20,33 @@ from pyspark.sql import functions as F
 ROW_ID = "row_id"
 
 
-def read_input(spark: SparkSession, path: str, sep: str | None, key: str | None, out: str) -> tuple[DataFrame, str]:
-    """CSV (given or detected delimiter) or parquet; without a key column a row id is added and the
-    keyed table is written once under ``out`` so the id never changes on recomputation."""
+def read_input(spark: SparkSession, path: str, sep: str | None, key: str | None, out: str,
+               multi_line: bool = True) -> tuple[DataFrame, str]:
+    """CSV (given or detected delimiter) or parquet, and its key column. CSV is written once as
+    Parquet under ``out``, as only one task can read a file whose fields may hold newlines.
+
+    Without a key column the key is a digest of the row's columns: the same for the same row,
+    however the files are packed. Rows equal in everything share it, and splitting them by it
+    gives the same rows in any order.
+    """
     from textgate.sources import readers as R
 
     if path.endswith(".parquet") or sep == "parquet":
         df = spark.read.parquet(path)
     else:
-        df = R.read_labelled(spark, path, sep) if sep else R.read_labelled_auto(spark, path)
+        csv = R.read_labelled(spark, path, sep, multi_line) if sep else R.read_labelled_auto(spark, path, multi_line)
+        csv.write.mode("overwrite").parquet(f"{out}/input")
+        df = spark.read.parquet(f"{out}/input")
     if key:
         return df, key
-    df.withColumn(ROW_ID, F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{out}/input")
-    return spark.read.parquet(f"{out}/input"), ROW_ID
+    columns = F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    return df.withColumn(ROW_ID, F.md5(F.to_json(columns, {"ignoreNullFields": "false"}))), ROW_ID
 
 
 def cmd_train(spark: SparkSession, a) -> dict:
     from textgate.plans.training import train_gate
 
-    df, key = read_input(spark, a.input, a.sep, a.key, a.out)
+    df, key = read_input(spark, a.input, a.sep, a.key, a.out, not a.single_line)
     res = train_gate(df, key, save_to=a.out)
     hist = [r.asDict() for r in res.history.orderBy("epoch").collect()]
     return {"best_epoch": res.best_epoch, "history": hist, "model": f"{a.out}/model"}
@@ -49,8 +57,11 @@ def cmd_evaluate(spark: SparkSession, a) -> dict:
     from textgate.plans.training import evaluate_model, load_gate, save_evaluation
 
     model = load_gate(spark, f"{a.out}/model")
-    test = spark.read.parquet(f"{a.out}/splits").drop(*quality_flags()).filter(F.col("split") == "test")
-    ev = evaluate_model(test, model)
+    splits = spark.read.parquet(f"{a.out}/splits").drop(*quality_flags())
+    parts = [r[0] for r in splits.select("split").distinct().collect()]
+    if "test" not in parts:
+        raise ValueError(f"{a.out}/splits has no test split, only {sorted(parts)}")
+    ev = evaluate_model(splits.filter(F.col("split") == "test"), model)
     save_evaluation(ev, f"{a.out}/evaluation")
     metrics = ev.metrics.first().asDict()
     ev.release()
@@ -84,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--input", required=True)
     t.add_argument("--sep", default=None, help="delimiter; omitted = detect; 'parquet' for parquet input")
     t.add_argument("--key", default=None)
+    t.add_argument("--single-line", action="store_true", help="no field holds a newline: files are split across tasks")
     t.add_argument("--out", required=True)
     e = sub.add_parser("evaluate")
     e.add_argument("--out", required=True)

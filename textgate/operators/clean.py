@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgate.functions.text import fill_blank, is_blank, lowercase, strip, strip_collapse
+from textgate.session import scratch_path
 
 # Fixed values that must equal the reference's.
 ALLOWED_LABELS = ("valida", "no_valida")
@@ -115,12 +116,20 @@ def unexpected_labels(df: DataFrame, label: str = "label",
 
 
 def validate_labels(df: DataFrame, label: str = "label", allowed: Sequence[str] = ALLOWED_LABELS,
-                    max_listed: int = 1000) -> DataFrame:
-    """Raise listing the sorted unexpected labels; returns ``df`` unchanged otherwise."""
-    bad = [r[0] for r in unexpected_labels(df, label, allowed).limit(max_listed + 1).collect()]
-    if bad:
-        more = " and more" if len(bad) > max_listed else ""
-        raise ValueError(f"unsupported labels found: {bad[:max_listed]}{more}")
+                    shown: int = 100) -> DataFrame:
+    """Raise on unexpected labels; returns ``df`` unchanged otherwise.
+
+    The message shows the first ``shown`` of them in order and, when there are more, their count
+    and the table in the scratch folder that lists every one.
+    """
+    bad = unexpected_labels(df, label, allowed)
+    some = [r[0] for r in bad.limit(shown + 1).collect()]
+    if len(some) > shown:
+        path = scratch_path(df.sparkSession, "unexpected-labels")
+        bad.write.parquet(path)
+        raise ValueError(f"{bad.count()} unsupported labels found: {some[:shown]} and the others in {path}")
+    if some:
+        raise ValueError(f"unsupported labels found: {some}")
     return df
 
 

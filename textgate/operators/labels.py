@@ -1,9 +1,7 @@
 """Label domain: distinct labels, the label ↔ id map, encode / decode, attaching predictions.
 
-A label map has one row per class. When it is small (``max_classes``, checked by a bounded
-collect) encode/decode become literal map/array lookups inside the projection: no join, no
-shuffle, whole-stage codegen. Beyond the bound they fall back to a plain equi-join whose strategy
-AQE picks from the measured sizes.
+A label map has one row per class and any number of classes. Encoding and decoding are left joins
+with it; Spark broadcasts the map when its size allows.
 """
 
 from __future__ import annotations
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_CLASSES = 10_000
+from textgate.ranking import with_position
 
 
 def distinct_labels(df: DataFrame, label: str = "label") -> DataFrame:
@@ -22,74 +20,57 @@ def distinct_labels(df: DataFrame, label: str = "label") -> DataFrame:
     return df.select(label).distinct().orderBy(label)
 
 
-def build_label_map(df: DataFrame, label: str = "label", id_col: str = "id",
-                    max_classes: int = MAX_CLASSES) -> DataFrame:
-    """Sorted distinct labels numbered 0..K-1.
+def build_label_map(df: DataFrame, label: str = "label", id_col: str = "id") -> DataFrame:
+    """Sorted distinct labels numbered 0..K-1 (nulls left out).
 
-    The distinct labels are aggregated on the executors (partial aggregation) and only the K
-    class names, checked against ``max_classes``, come to the driver to be numbered.
+    The labels are aggregated on the executors and numbered by their place in a range
+    partitioning; no list of them reaches the driver.
     """
-    names = [r[0] for r in df.select(label).filter(F.col(label).isNotNull()).distinct()
-             .limit(max_classes + 1).collect()]
-    if len(names) > max_classes:
-        raise ValueError(f"'{label}' has more than {max_classes} distinct values; not a class column")
-    ltype = df.schema[label].dataType
-    schema = T.StructType([T.StructField(label, ltype), T.StructField(id_col, T.IntegerType())])
-    return df.sparkSession.createDataFrame([(n, i) for i, n in enumerate(sorted(names))], schema)
-
-
-def collect_labels(label_map: DataFrame | Sequence[str], label: str = "label", id_col: str = "id",
-                   max_classes: int = MAX_CLASSES) -> list[str] | None:
-    """Labels in id order, or ``None`` when the map has more than ``max_classes`` rows."""
-    if not isinstance(label_map, DataFrame):
-        return [str(x) for x in label_map]
-    rows = label_map.select(label, id_col).orderBy(id_col).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        return None
-    ids = [r[1] for r in rows]
-    if ids != list(range(len(ids))):
-        raise ValueError(f"label map ids must be 0..K-1, got {ids[:20]}")
-    return [r[0] for r in rows]
+    names = df.select(F.col(label)).filter(F.col(label).isNotNull()).distinct()
+    return with_position(names, [label], id_col).withColumn(id_col, F.col(id_col).cast("int"))
+
+
+def as_label_map(spark, label_map: DataFrame | Sequence[str]) -> DataFrame:
+    """A map table (label, id) from a table or from labels in id order."""
+    if isinstance(label_map, DataFrame):
+        return label_map.select("label", F.col("id").cast("int").alias("id"))
+    schema = T.StructType([T.StructField("label", T.StringType()), T.StructField("id", T.IntegerType())])
+    return spark.createDataFrame([(str(x), i) for i, x in enumerate(label_map)], schema)
 
 
 def encode_labels(df: DataFrame, label_map: DataFrame | Sequence[str], label: str = "label",
-                  out: str = "labels", max_classes: int = MAX_CLASSES) -> DataFrame:
+                  out: str = "labels") -> DataFrame:
     """label → id; a label missing from the map gives null and the row is kept."""
-    labels = collect_labels(label_map, max_classes=max_classes)
-    if labels is None:
-        m = label_map.select(F.col("label").alias("_lbl"), F.col("id").cast("int").alias(out))
-        return df.join(m, df[label].eqNullSafe(m["_lbl"]), "left").drop("_lbl")
-    pairs = []
-    for i, name in enumerate(labels):
-        pairs += [F.lit(name), F.lit(i)]
-    lookup = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,int>")
-    return df.withColumn(out, F.try_element_at(lookup, F.col(label)).cast("int"))
+    m = as_label_map(df.sparkSession, label_map).select(F.col("label").alias("_map_label"), F.col("id").alias("_map_id"))
+    return df.join(m, df[label] == m["_map_label"], "left").withColumn(out, F.col("_map_id")).drop("_map_label", "_map_id")
 
 
 def decode_labels(df: DataFrame, label_map: DataFrame | Sequence[str], id_col: str = "predicted_id",
-                  out: str = "predicted_label", max_classes: int = MAX_CLASSES) -> DataFrame:
+                  out: str = "predicted_label") -> DataFrame:
     """id → label; an id outside the map raises (a dict lookup in the reference)."""
-    labels = collect_labels(label_map, max_classes=max_classes)
-    if labels is None:
-        m = label_map.select(F.col("id").cast("int").alias("_id"), F.col("label").alias(out))
-        j = df.join(m, df[id_col].eqNullSafe(m["_id"]), "left")
-        return j.withColumn(out, F.coalesce(F.col(out), F.raise_error(
-            F.concat(F.lit("unknown class id: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-        ).cast("string")).drop("_id")
-    arr = F.array(*[F.lit(x) for x in labels])
-    i = F.col(id_col)
-    return df.withColumn(out, F.when(i.between(0, len(labels) - 1), F.element_at(arr, i.cast("int") + 1))
-                         .otherwise(F.raise_error(F.concat(F.lit("unknown class id: "),
-                                                           F.coalesce(i.cast("string"), F.lit("null")))))
-                         .cast("string"))
+    m = as_label_map(df.sparkSession, label_map).select(F.col("label").cast("string").alias("_map_label"), F.col("id").alias("_map_id"))
+    j = df.join(m, df[id_col].cast("int") == m["_map_id"], "left")
+    unknown = F.raise_error(F.concat(F.lit("unknown class id: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    return j.withColumn(out, F.when(F.col("_map_id").isNull(), unknown.cast("string")).otherwise(F.col("_map_label"))) \
+        .drop("_map_label", "_map_id")
 
 
 def attach_predictions(rows: DataFrame, predictions: DataFrame, key: str | Sequence[str],
                        pred: str = "predicted_label") -> DataFrame:
-    """Put predictions beside their rows by key (1:1 inner equi-join).
+    """Put predictions beside their rows by key: every row keeps its one row.
 
     The reference aligns by position; Spark has no row order, so the key is explicit. Prefer
-    carrying the row's columns through scoring, which needs no join at all.
+    carrying the row's columns through scoring, which needs no join at all. A row without a
+    prediction and a key with two predictions raise, naming the key. Null keys match null keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return rows.join(predictions.select(*keys, pred), keys, "inner")
+    named = [f"_key_{i}" for i in range(len(keys))]
+    one = predictions.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, named)]) \
+        .agg(F.count("*").alias("_found"), F.first(pred).alias("_prediction"))
+    same = [rows[k].eqNullSafe(one[n]) for k, n in zip(keys, named)]
+    joined = rows.join(one, same, "left")
+    where = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    checked = F.when(F.col("_found").isNull(), F.raise_error(F.concat(F.lit("no prediction for "), where)).cast("string")) \
+        .when(F.col("_found") > 1, F.raise_error(F.concat(F.lit("several predictions for "), where)).cast("string")) \
+        .otherwise(F.col("_prediction"))
+    return joined.withColumn(pred, checked.cast(predictions.schema[pred].dataType)).drop("_found", "_prediction", *named)

@@ -65,7 +65,7 @@ def score(df: DataFrame, model, text: str = "text", keep: Sequence[str] | None =
 
 def score_with_model(df: DataFrame, make_predict_fn: Callable, input_col: str, labels: Sequence[str],
                      input_shape: Sequence[int] | None = None,
-                     batch_size: int = 8, out: str = "logits") -> DataFrame:
+                     batch_size: int = 1024, out: str = "logits") -> DataFrame:
     """Logits from a caller-supplied batch predictor, then ``score_logits``.
 
     ``make_predict_fn()`` runs once per Python worker and returns ``fn(batch: ndarray) -> ndarray``

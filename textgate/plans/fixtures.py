@@ -38,10 +38,34 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit(" "), F.upper("subtype"))).alias("subtype"))
 
 
+#: Elements of an embedding, and classes that they are folded into.
+WIDTH, CLASSES = 64, 10
+
+
+def folded(classes: int = CLASSES, alternate: bool = False) -> list[list[tuple[int, int]]]:
+    """Per class, the (element, sign) pairs that make its logit: every ``classes``-th element."""
+    return [[(k, -1 if alternate and k // classes % 2 else 1) for k in range(j, WIDTH, classes)] for j in range(classes)]
+
+
+def folded_sql(alternate: bool = False) -> str:
+    """The logits as a DuckDB list, added in the same order as in Spark."""
+    def logit(part: list[tuple[int, int]]) -> str:
+        return " ".join(f"{'-' if s < 0 else '+'} CAST(embedding[{k + 1}] AS DOUBLE)" for k, s in part)
+
+    return "[" + ", ".join(f"CAST(0.0::DOUBLE {logit(p)} AS FLOAT)" for p in folded(alternate=alternate)) + "]"
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """embeddings: logits = the first 10 elements, label = truth class 0..9."""
+    """embeddings: logit j = the sum of every tenth element from j on, label = truth class 0..9."""
     e = table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", F.slice("embedding", 1, 10).alias("logits"), F.col("label").cast("int").alias("label"))
+
+    def logit(part: list[tuple[int, int]]):
+        total = F.lit(0.0)
+        for k, s in part:
+            total = total + s * F.col("embedding")[k].cast("double")
+        return total.cast("float")
+
+    return e.select("vec_id", F.array(*[logit(p) for p in folded()]).alias("logits"), F.col("label").cast("int").alias("label"))
 
 
 def asks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +91,8 @@ dirty AS (
               ELSE ' ' || upper(subtype) END AS subtype
   FROM labelled)"""
 
-SCORED_SQL = """scored AS (
-  SELECT vec_id, embedding[1:10] AS logits, CAST(label AS INTEGER) AS label FROM embeddings)"""
+SCORED_SQL = f"""scored AS (
+  SELECT vec_id, {folded_sql()} AS logits, CAST(label AS INTEGER) AS label FROM embeddings)"""
 
 ASKS_SQL = """asks AS (
   SELECT conv_id, turn, text FROM conversations WHERE role = 'user')"""

@@ -8,7 +8,7 @@ digits, integer results cast to the Spark type (INTEGER for ids and sizes, BIGIN
 from __future__ import annotations
 
 from textgate.operators.split import DEFAULT_FRACTIONS, DEFAULT_SEED, TRAIN_TEST_FRACTIONS
-from textgate.plans.fixtures import ASKS_SQL, DIRTY_SQL, LABELLED_SQL, SCORED_SQL
+from textgate.plans.fixtures import ASKS_SQL, DIRTY_SQL, LABELLED_SQL, SCORED_SQL, folded_sql
 
 ORACLE: dict[str, str] = {}
 
@@ -331,10 +331,7 @@ SELECT vec_id, {ARGMAX('p')} AS predicted_id, CAST({ARGMAX('p')} AS VARCHAR) AS
        round(list_max(p), 6) AS confidence
 FROM probs""")
 
-oracle("score_with_model", """WITH lin AS (
-  SELECT vec_id, list_transform(range(1, 11),
-           lambda j: CAST(CAST(embedding[j] AS DOUBLE) - CAST(embedding[j + 10] AS DOUBLE) AS FLOAT)) AS logits
-  FROM embeddings),
+oracle("score_with_model", f"WITH lin AS (SELECT vec_id, {folded_sql(alternate=True)} AS logits FROM embeddings)," + """
 sm AS (SELECT vec_id, list_transform(logits, lambda x: exp(CAST(x AS DOUBLE) - CAST(list_max(logits) AS DOUBLE))) AS e
        FROM lin),
 probs AS (SELECT vec_id, list_transform(e, lambda x: x / list_sum(e)) AS p FROM sm)
@@ -359,6 +356,42 @@ oracle("save_model", ORACLE["build_label_map"])
 # ---------------------------------------------------------------- 2.12 streaming
 
 oracle("stream_clean", ORACLE["drop_control_words"])
+oracle("stream_score", "SELECT conv_id, turn, true AS same_as_batch FROM (" + ORACLE["drop_control_words"] + ")")
+
+# ---------------------------------------------------------------- models: what SQL can compute of them
+
+oracle("train_gate", "SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM (" + ORACLE["stratified_split"] + ") GROUP BY split, label")
+oracle("train_candidates", """SELECT CAST(epoch AS INTEGER) AS epoch, true AS metrics_in_range, true AS best_is_max, true AS loss_is_finite
+FROM range(1, 5) t(epoch)""")
+oracle("score", """SELECT doc_id, 2 AS n_classes, 1.0::DOUBLE AS probability_sum, true AS label_is_argmax, true AS confidence_is_max
+FROM documents""")
+oracle("load_model", "SELECT doc_id, true AS same_as_in_memory FROM documents")
+oracle("evaluate_model", """WITH s AS (""" + ORACLE["stratified_split"] + """)
+SELECT split, label AS class, CAST(count(*) AS BIGINT) AS support, true AS accuracy_agrees, true AS macro_agrees, true AS loss_agrees
+FROM s GROUP BY split, label""")
+oracle("report_listed_classes", with_(SCORED_SQL, f"pred AS (SELECT vec_id, label, {ARGMAX('logits')} AS predicted_id FROM scored)") + """,
+part AS (SELECT label, predicted_id, CASE WHEN label = 9 THEN 'test' WHEN vec_id % 2 = 0 THEN 'train' ELSE 'test' END AS split FROM pred),
+listed AS (SELECT DISTINCT split, c AS label FROM part, range(1, 10) t(c)),
+counts AS (
+  SELECT l.split, l.label,
+         (SELECT count(*) FROM part p WHERE p.split = l.split AND p.label = l.label) AS support,
+         (SELECT count(*) FROM part p WHERE p.split = l.split AND p.predicted_id = l.label) AS found,
+         (SELECT count(*) FROM part p WHERE p.split = l.split AND p.predicted_id = l.label AND p.label = l.label) AS hits
+  FROM listed l)
+SELECT split, 'class ' || label AS class,
+       round(CASE WHEN found = 0 THEN 0 ELSE hits / found END, 6) AS precision,
+       round(CASE WHEN support = 0 THEN 0 ELSE hits / support END, 6) AS recall,
+       round(CASE WHEN found + support = 0 THEN 0 ELSE 2.0 * hits / (found + support) END, 6) AS f1_score,
+       CAST(support AS DOUBLE) AS support
+FROM counts
+UNION ALL
+SELECT split, 'micro avg',
+       round(CASE WHEN sum(found) = 0 THEN 0 ELSE sum(hits) / sum(found) END, 6),
+       round(CASE WHEN sum(support) = 0 THEN 0 ELSE sum(hits) / sum(support) END, 6),
+       round(CASE WHEN sum(found) + sum(support) = 0 THEN 0 ELSE 2.0 * sum(hits) / (sum(found) + sum(support)) END, 6),
+       CAST(sum(support) AS DOUBLE)
+FROM counts GROUP BY split
+""")
 
 # ---------------------------------------------------------------- the end-to-end slice (entry)
 

@@ -26,6 +26,7 @@ from textgate.operators import metrics as M
 from textgate.operators import score as S
 from textgate.operators import split as SP
 from textgate.plans import fixtures as fx
+from textgate.session import materialise
 
 # The batch functions below run in Python workers; shipping this module's functions by value
 # means a worker needs only pandas / numpy, not this package on its path.
@@ -341,8 +342,9 @@ def q_pad_tokens(spark, sf):
 
 @query
 def q_pad_to_group_max(spark, sf):
-    df = E.tokenise(cleaned(spark, sf), max_length=None).withColumn("batch", F.floor(F.col("doc_id") / 8))
-    df = E.pad_to_group_max(df, "batch")
+    tokens = E.tokenise(cleaned(spark, sf), max_length=None).withColumn("batch", F.floor(F.col("doc_id") / 8))
+    # written once: the maxima and the padded rows both need the tokens
+    df = E.pad_to_group_max(materialise(tokens.select("doc_id", "batch", "input_tokens"), "tokens"), "batch")
     return df.select("doc_id", "batch", F.size("input_ids").alias("n_ids"),
                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"),
                      F.array_join("input_ids", " ").alias("input_ids"))
@@ -368,12 +370,15 @@ def q_score_logits(spark, sf):
 
 
 def make_linear_predictor():
-    """A fixed linear map standing in for a trained network: logit_j = e_j - e_(j+10)."""
+    """A fixed linear map standing in for a trained network: logit_j = e_j - e_(j+10) + e_(j+20) - ..."""
     import numpy as np
 
-    w = np.zeros((64, 10), dtype=np.float64)
-    for j in range(10):
-        w[j, j], w[j + 10, j] = 1.0, -1.0
+    from textgate.plans.fixtures import CLASSES, WIDTH, folded
+
+    w = np.zeros((WIDTH, CLASSES), dtype=np.float64)
+    for j, part in enumerate(folded(alternate=True)):
+        for k, sign in part:
+            w[k, j] = sign
 
     def predict(x):
         return (np.asarray(x, dtype=np.float64) @ w).astype(np.float32)
@@ -496,7 +501,7 @@ def trained(spark, sf):
     queries that need a model."""
     from textgate.plans.training import train_gate
 
-    k = (id(spark), sf)
+    k = (spark.sparkContext.applicationId, sf)
     if k not in _TRAINED:
         root = _scratch(spark, "gate")
         _TRAINED[k] = (train_gate(fx.dirty(spark, sf), "doc_id", save_to=root), root)
@@ -509,15 +514,19 @@ def q_train_candidates(spark, sf):
 
     s = materialise_splits(SP.stratified_split(cleaned(spark, sf), "doc_id"), _scratch(spark, "splits"))
     hist, _ = train_candidates(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "validation"))
-    return hist.select("epoch", r6("accuracy").alias("accuracy"), r6("f1_macro").alias("f1_macro"),
-                       r6("loss").alias("loss"))
+    from textgate.plans.training import best_candidates
+
+    top = best_candidates(hist, keep=1).select(F.col("f1_macro").alias("top"))
+    inside = F.col("accuracy").between(0, 1) & F.col("f1_macro").between(0, 1)
+    return hist.crossJoin(F.broadcast(top)).select(  # one row beside one row per epoch
+        "epoch", inside.alias("metrics_in_range"), (F.col("f1_macro") <= F.col("top")).alias("best_is_max"),
+        ((F.col("loss") >= 0) & (F.col("loss") < 35)).alias("loss_is_finite"))
 
 
 @query
 def q_train_gate(spark, sf):
     res, _ = trained(spark, sf)
-    return res.splits.groupBy("split", "label").agg(F.count(F.lit(1)).cast("bigint").alias("n")) \
-        .withColumn("best_epoch", F.lit(int(res.best_epoch)))
+    return res.splits.groupBy("split", "label").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 @query
@@ -528,55 +537,82 @@ def q_save_model(spark, sf):
     return read_label_map(spark, f"{root}/model/labels")
 
 
-def _test_split(spark, root):
-    stored = spark.read.parquet(f"{root}/splits")
-    return stored.drop(*C.quality_flags()).filter(F.col("split") == "test")
-
-
 @query
 def q_load_model(spark, sf):
     from textgate.sources.readers import load_model
 
-    _, root = trained(spark, sf)
-    model = load_model(spark, f"{root}/model")
-    s = S.score(_test_split(spark, root), model)
-    return s.select("doc_id", "label", "predicted_label", r6("confidence").alias("confidence"))
+    res, root = trained(spark, sf)
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    loaded = S.score(docs, load_model(spark, f"{root}/model")).select(
+        "doc_id", F.col("predicted_label").alias("loaded_label"), F.col("class_probs").alias("loaded_probs"))
+    own = S.score(docs, res.model).select(F.col("doc_id").alias("own_id"), "predicted_label", "class_probs")
+    same = (F.col("loaded_label") == F.col("predicted_label")) & (F.col("loaded_probs") == F.col("class_probs"))
+    return loaded.join(own, F.col("doc_id") == F.col("own_id")).select("doc_id", same.alias("same_as_in_memory"))
 
 
 @query
 def q_score(spark, sf):
-    res, root = trained(spark, sf)
-    s = S.score(_test_split(spark, root), res.model)
-    return S.explode_probabilities(s.select("doc_id", "predicted_label", "confidence", "probabilities"), "doc_id") \
-        .select("doc_id", "class_label", r6("probability").alias("probability"))
+    res, _ = trained(spark, sf)
+    s = S.score(fx.table(spark, sf, "documents").select("doc_id", "text"), res.model)
+    values = F.map_values("probabilities")
+    return s.select(
+        "doc_id", F.size("probabilities").alias("n_classes"),
+        r6(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("probability_sum"),
+        (F.col("probabilities")[F.col("predicted_label")] == F.array_max(values)).alias("label_is_argmax"),
+        (F.col("confidence") == F.array_max("class_probs")).alias("confidence_is_max"))
 
 
 @query
 def q_evaluate_model(spark, sf):
+    """Per split: the report's supports, with its summary rows checked against the scored rows."""
     from textgate.plans.training import evaluate_model
 
     res, root = trained(spark, sf)
-    ev = evaluate_model(_test_split(spark, root), res.model)
-    return report_cols(ev.report)
+    rows = spark.read.parquet(f"{root}/splits").drop(*C.quality_flags())
+    ev = evaluate_model(rows, res.model, by=["split"])
+    report = materialise(ev.report, "report")
+    hit = (F.col("label") == F.col("predicted_label")).cast("double")
+    p = F.col("probabilities")[F.col("label")]
+    direct = ev.scored.groupBy("split").agg(F.avg(hit).alias("hits"), F.avg(-F.log(F.greatest(p, F.lit(1e-15)))).alias("mean_loss"))
+    direct = materialise(direct.join(ev.loss, "split"), "direct")
+    ev.release()
+    classes = report.filter(F.col("class").isin(res.model.labels))
+    macro = classes.groupBy("split").agg(F.avg("f1_score").alias("mean_f1"))
+    said = report.groupBy("split").agg(F.max(F.when(F.col("class") == "accuracy", F.col("precision"))).alias("said_accuracy"),
+                                       F.max(F.when(F.col("class") == "macro avg", F.col("f1_score"))).alias("said_macro"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
+    return classes.join(macro, "split").join(said, "split").join(direct, "split").select(
+        "split", "class", F.col("support").cast("bigint").alias("support"), near("said_accuracy", "hits").alias("accuracy_agrees"),
+        near("said_macro", "mean_f1").alias("macro_agrees"), near("loss", "mean_loss").alias("loss_agrees"))
+
+
+@query
+def q_report_listed_classes(spark, sf):
+    """The report over classes 1..9 with target names: class 0 left out, class 9 unseen in train."""
+    df = predicted(spark, sf).withColumn("split", F.when(F.col("label") == 9, "test").when(F.col("vec_id") % 2 == 0, "train").otherwise("test"))
+    conf = M.confusion_counts(df, "label", "predicted_id", ["split"])
+    listed = list(range(1, 10))
+    rep = M.report_from_confusion(conf, ["split"], listed, [f"class {i}" for i in listed])
+    return report_cols(rep, ["split"]).drop("row_order").filter(~F.col("class").isin("macro avg", "weighted avg"))
 
 
 # ---------------------------------------------------------------- 2.12 streaming
 
-def _conversation_stream_source(spark, sf):
-    return sf.rstrip("/"), fx.table(spark, sf, "conversations").schema
+def _question_files(spark, sf):
+    """``edgy_asks`` as Parquet files that a stream can read: (folder, schema)."""
+    rows = edgy_asks(spark, sf).withColumn("role", F.lit("user"))
+    path = _scratch(spark, "asks")
+    rows.write.parquet(path)
+    return path, rows.schema
 
 
 @query
 def q_stream_clean(spark, sf):
-    from textgate.streaming.questions import clean_questions, read_questions, start_sink
+    from textgate.streaming.questions import stream_clean
 
-    src, schema = _conversation_stream_source(spark, sf)
-    stream = read_questions(spark, src, schema, glob="conversations.parquet")
-    k = (F.col("conv_id") + F.col("turn")) % 7
-    stream = stream.withColumn("text", F.when(k == 0, F.lit("   ")).when(k == 1, F.lit(" Salir "))
-                               .when(k == 2, F.lit("EXIT")).otherwise(F.col("text")))
+    source, schema = _question_files(spark, sf)
     sink, ckpt = _scratch(spark, "stream-clean"), _scratch(spark, "stream-clean-ckpt")
-    start_sink(clean_questions(stream).select("conv_id", "turn", "text"), sink, ckpt).awaitTermination()
+    stream_clean(spark, source, schema, sink, ckpt, max_files_per_trigger=1000).awaitTermination()
     return spark.read.parquet(sink)
 
 
@@ -585,10 +621,15 @@ def q_stream_score(spark, sf):
     from textgate.streaming.questions import stream_score
 
     res, _ = trained(spark, sf)
-    src, schema = _conversation_stream_source(spark, sf)
+    source, schema = _question_files(spark, sf)
     sink, ckpt = _scratch(spark, "stream-score"), _scratch(spark, "stream-score-ckpt")
-    stream_score(spark, src, schema, res.model, sink, ckpt, glob="conversations.parquet").awaitTermination()
-    return spark.read.parquet(sink).select("conv_id", "turn", "predicted_label", r6("confidence").alias("confidence"))
+    stream_score(spark, source, schema, res.model, sink, ckpt, max_files_per_trigger=1000).awaitTermination()
+    streamed = spark.read.parquet(sink).select("conv_id", "turn", "predicted_label", "confidence")
+    batch = S.score(C.drop_control_words(C.drop_blank_asks(edgy_asks(spark, sf))), res.model).select(
+        F.col("conv_id").alias("c"), F.col("turn").alias("t"), F.col("predicted_label").alias("label"), F.col("confidence").alias("conf"))
+    both = streamed.join(batch, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("t")), "full")
+    same = F.coalesce((F.col("predicted_label") == F.col("label")) & (F.col("confidence") == F.col("conf")), F.lit(False))
+    return both.select("conv_id", "turn", same.alias("same_as_batch"))
 
 
 # ---------------------------------------------------------------- the end-to-end slice (entry)

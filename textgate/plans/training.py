@@ -15,10 +15,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,7 @@ from textgate.functions.text import WS
 from textgate.operators import clean as C
 from textgate.operators import metrics as M
 from textgate.operators import split as SP
+from textgate.session import materialise
 
 # Fixed values that must equal the reference's training set-up.
 EPOCHS = 4
@@ -52,8 +54,6 @@ class GateModel:
     @property
     def scorer(self) -> PipelineModel:
         """The pipeline without its label indexer: scoring never reads the label column."""
-        from pyspark.ml.feature import StringIndexerModel
-
         return PipelineModel(stages=[s for s in self.pipeline.stages if not isinstance(s, StringIndexerModel)])
 
     def save(self, path: str) -> None:
@@ -66,21 +66,6 @@ class GateModel:
         meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
-class MacroF1Evaluator(Evaluator):
-    """Macro-F1 over the classes seen in truth or prediction (not the support-weighted 'f1')."""
-
-    def __init__(self, labelCol: str = "label_id", predictionCol: str = "prediction"):
-        super().__init__()
-        self.label_col, self.pred_col = labelCol, predictionCol
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        conf = M.confusion_counts(dataset, self.label_col, self.pred_col)
-        return float(M.metrics_from_confusion(conf).first()["f1_macro"] or 0.0)
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 def feature_stages(text: str = "text", num_features: int = NUM_FEATURES):
     tok = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=f"(?U){WS}+", toLowercase=True, minTokenLength=1)
     tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features)
@@ -90,28 +75,34 @@ def feature_stages(text: str = "text", num_features: int = NUM_FEATURES):
 
 def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text", label: str = "label",
                      epochs: Sequence[int] = tuple(range(1, EPOCHS + 1)), reg_param: float = WEIGHT_DECAY,
-                     num_features: int = NUM_FEATURES, parallelism: int = 4) -> tuple[DataFrame, dict[int, GateModel]]:
+                     num_features: int = NUM_FEATURES, parallelism: int = 4,
+                     labels: Sequence[str] | None = None) -> tuple[DataFrame, dict[int, GateModel]]:
     """One candidate per epoch count, each scored on ``validation``.
 
-    Reads ``train`` twice (label domain; token counts for the IDF fit, from which the persisted
-    feature table every candidate shares is made) and ``validation`` once. Returns the history ``(epoch, accuracy, f1_macro, loss)``
-    and the fitted candidates.
+    ``labels`` are the classes in id order (sorted, of the whole table); by default those of both
+    splits. They come to the driver, as does the classifier: ``num_features`` coefficients per
+    class, so it is meant for hundreds of classes, not for label domains of any size. The token
+    counts of both splits are written once, and every candidate reads one persisted feature table.
+    Returns the history ``(epoch, accuracy, f1_macro, loss)``, where loss is the mean log loss of the
+    validation rows, and the fitted candidates.
     """
     spark = train.sparkSession
-    indexer = StringIndexer(inputCol=label, outputCol="label_id", stringOrderType="alphabetAsc",
-                            handleInvalid="error").fit(train)
-    labels = list(indexer.labelsArray[0])
+    if labels is None:
+        labels = sorted(r[0] for r in train.select(label).union(validation.select(label)).distinct().collect() if r[0] is not None)
+    labels = list(labels)
+    indexer = StringIndexerModel.from_labels(labels, inputCol=label, outputCol="label_id", handleInvalid="error")
     tok, tf, idf = feature_stages(text, num_features)
-    train_tf = tf.transform(tok.transform(indexer.transform(train))).select("label_id", "tf").persist()
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return materialise(tf.transform(tok.transform(indexer.transform(rows))).select("label_id", "tf"), name)
+
+    train_tf, val_tf = counted(train, "train-counts"), counted(validation, "validation-counts")
     idf_model = idf.fit(train_tf)
     feats = [tok, tf, idf_model]
-    # One persisted feature table shared by every candidate: LogisticRegression keeps its own
-    # copy of the instances only when its input is not persisted.
+    # LogisticRegression keeps its own copy of the instances only when its input is not persisted
     train_x = idf_model.transform(train_tf).select("label_id", "features").persist()
-    train_x.count()
-    train_tf.unpersist()
-    val_x = idf_model.transform(tf.transform(tok.transform(indexer.transform(validation)))) \
-        .select("label_id", "features").persist()
+    val_x = idf_model.transform(val_tf).select("label_id", "features").persist()
+
     def fit_one(ep: int):
         lr = LogisticRegression(featuresCol="features", labelCol="label_id", maxIter=int(ep), regParam=reg_param,
                                 elasticNetParam=0.0, tol=0.0, standardization=False)
@@ -120,8 +111,8 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
         conf = M.confusion_counts(pred.withColumn("label_id", F.col("label_id").cast("double")),
                                   "label_id", "prediction")
         m = M.metrics_from_confusion(conf).first()
-        hist = lr_model.summary.objectiveHistory if lr_model.hasSummary else []
-        row = (int(ep), float(m["accuracy"] or 0.0), float(m["f1_macro"] or 0.0), float(hist[-1]) if hist else None)
+        loss = pred.select(F.avg(log_loss(vector_to_array("probability"), F.col("label_id")))).first()[0]
+        row = (int(ep), float(m["accuracy"] or 0.0), float(m["f1_macro"] or 0.0), loss)
         return row, GateModel(PipelineModel(stages=[indexer, *feats, lr_model]), labels, text, label)
 
     try:
@@ -137,6 +128,12 @@ def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text"
     return spark.createDataFrame(rows, HISTORY_SCHEMA), models
 
 
+def log_loss(probabilities, label_id):
+    """-ln of the true class's probability (at least 1e-15); a class the model lacks counts as that."""
+    p = F.coalesce(F.try_element_at(probabilities, (label_id + 1).cast("int")), F.lit(0.0))
+    return -F.log(F.greatest(p, F.lit(1e-15)))
+
+
 def materialise_splits(splits: DataFrame, path: str) -> DataFrame:
     """Write the split table once and read it back: the lineage (scan, cleaning regexes, ranking)
     is cut, and every later pass reads parquet with ``split`` pruned by folder."""
@@ -172,14 +169,15 @@ def train_gate(df: DataFrame, key: str, text: str = "text", label: str = "label"
 
     clean = C.normalise(C.load_clean(df, text, label), text, label)
     root = save_to or scratch_path(df.sparkSession, "gate")
-    plan = SP.stratified_split(clean, key, label, seed=seed)
+    plan = SP.stratified_split(clean, key, label, seed=seed, min_class_rows=2)
     flags = C.quality_flags(text, label, allowed)
     flagged = materialise_splits(plan.withColumns(flags), f"{root}/splits")
     C.raise_on_quality(flagged, C.count_flags(flagged), text, label, allowed, key)
     splits = flagged.drop(*flags)
     train = splits.filter(F.col("split") == "train")
     valid = splits.filter(F.col("split") == "validation")
-    history, models = train_candidates(train, valid, text, label, epochs)
+    labels = sorted(r[0] for r in splits.select(label).distinct().collect())  # of the whole table, checked above
+    history, models = train_candidates(train, valid, text, label, epochs, labels=labels)
     best = best_candidates(history).first()["epoch"]
     model = models[best]
     if save_to:
@@ -198,6 +196,7 @@ class Evaluation:
     misclassified: DataFrame
     scored: DataFrame
     conf: DataFrame
+    loss: DataFrame
 
     def release(self) -> None:
         """Drop the cached scored rows and confusion table once the outputs are written."""
@@ -205,20 +204,27 @@ class Evaluation:
         self.conf.unpersist()
 
 
-def evaluate_model(test: DataFrame, model: GateModel, text: str = "text", label: str = "label") -> Evaluation:
-    """Score the test split once (cached), aggregate the confusion once; every output reads it."""
+def evaluate_model(test: DataFrame, model: GateModel, text: str = "text", label: str = "label",
+                   by: Sequence[str] = ()) -> Evaluation:
+    """Score the rows once (cached), aggregate the confusion once; every output reads it.
+
+    ``by`` (such as ``["split"]``) gives metrics, report and mean log loss per group; the
+    confusion matrix is over all rows.
+    """
     from textgate.operators.score import score
 
     clean = C.normalise(test, text, label)
     C.validate_labels(clean, label, model.labels)
-    scored = score(clean, model, text).drop("class_probs").persist()
-    conf = M.confusion_counts(scored, label, "predicted_label").persist()
+    true_id = F.array_position(F.array(*[F.lit(x) for x in model.labels]), F.col(label)) - 1
+    scored = score(clean, model, text).withColumn("loss", log_loss(F.col("class_probs"), true_id)).drop("class_probs").persist()
+    conf = M.confusion_counts(scored, label, "predicted_label", by).persist()
+    overall = conf.groupBy(*[c for c in conf.columns if c not in (*by, M.N)]).agg(F.sum(M.N).alias(M.N))
     return Evaluation(
-        metrics=M.metrics_from_confusion(conf),
-        report=M.report_from_confusion(conf),
-        confusion=M.confusion_matrix(conf, sorted(model.labels)),
-        misclassified=M.misclassified(scored.drop("probabilities"), label, "predicted_label"),
-        scored=scored, conf=conf)
+        metrics=M.metrics_from_confusion(conf, by),
+        report=M.report_from_confusion(conf, by),
+        confusion=M.confusion_matrix(overall, sorted(model.labels)),
+        misclassified=M.misclassified(scored.drop("probabilities", "loss"), label, "predicted_label"),
+        scored=scored, conf=conf, loss=scored.groupBy(*by).agg(F.avg("loss").alias("loss")))
 
 
 def save_evaluation(ev: Evaluation, path: str) -> None:
@@ -233,13 +239,17 @@ def save_evaluation(ev: Evaluation, path: str) -> None:
 
 
 def load_gate(spark: SparkSession, path: str) -> GateModel:
-    """Load an exported gate; error when it is absent."""
+    """Load an exported gate; ``FileNotFoundError`` when nothing is stored there. Other failures
+    (a damaged model, no permission) come through as they are."""
     from textgate.sources.readers import read_label_map
 
     try:
-        pipe = PipelineModel.load(f"{path}/pipeline")
-    except Exception as e:  # noqa: BLE001
+        spark.read.text(f"{path}/pipeline/metadata").schema  # resolves the path, reads nothing
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no trained model at {path}") from e
+    pipe = PipelineModel.load(f"{path}/pipeline")
     lm = read_label_map(spark, f"{path}/labels")
     labels = [r["label"] for r in lm.orderBy("id").collect()]
     meta = spark.read.json(f"{path}/meta").first()

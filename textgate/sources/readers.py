@@ -1,7 +1,7 @@
 """Readers: delimited labelled text, stored splits, label maps.
 
-CSV is read header-named and all-string (``inferSchema=False``): the reference coerces every
-field to ``str``, and binding by name is right when ``subtype`` is absent or columns move.
+CSV is all-string (``inferSchema=False``; the reference coerces every field to ``str``) and bound
+by each file's own header: files of one folder may order their columns differently or lack some.
 ``multiLine`` CSV cannot be split across tasks, so a pipeline should turn texts into parquet
 right after the first read (``write_table(fmt="parquet")``).
 """
@@ -28,10 +28,32 @@ def read_labelled(spark: SparkSession, path: str, sep: str = RAW_SEP, multi_line
     """Delimited UTF-8 text (a leading BOM is dropped), header-named string columns, cleaned names.
 
     ``multi_line=True`` allows quoted newlines but reads each file in one task; input known to be
-    one record per line can pass ``False`` and be split across tasks.
+    one record per line can pass ``False`` and be split across tasks. Files with the same header
+    are read together, and the groups are put together by column name (a column that a group
+    lacks is null there).
     """
-    df = spark.read.options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower()}, sep=sep).csv(path)
-    return C.require_columns(C.clean_header(df))
+    groups = [C.clean_header(_csv(spark, files, sep, multi_line)) for _, files in files_by_header(spark, path)]
+    if not groups:  # no file has a line
+        groups = [C.clean_header(_csv(spark, path, sep, multi_line))]
+    df = groups[0]
+    for g in groups[1:]:
+        df = df.unionByName(g, allowMissingColumns=True)
+    return C.require_columns(df)
+
+
+def _csv(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool) -> DataFrame:
+    # enforceSchema=false: Spark raises on a file whose header differs from the first one's
+    options = {**CSV_OPTIONS, "multiLine": str(multi_line).lower(), "enforceSchema": "false"}
+    return spark.read.options(**options, sep=sep).csv(path)
+
+
+def files_by_header(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(header line, files) for each distinct first line below ``path``, one row per file."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                                         F.monotonically_increasing_id().alias("n"), "value").filter("start = 0")
+    first = lines.groupBy("file").agg(F.min(F.struct("n", "value")).alias("x")) \
+        .groupBy(F.rtrim(F.regexp_replace("x.value", "^\ufeff", "")).alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [(r["header"], list(r["files"])) for r in first.orderBy("header").collect()]
 
 
 def detect_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] = DELIMITERS,
@@ -55,9 +77,11 @@ def read_labelled_auto(spark: SparkSession, path: str, multi_line: bool = True)
 
 
 def load_dataset(spark: SparkSession, path: str, sep: str | None = RAW_SEP, key: str | None = None,
-                 text: str = "text", label: str = "label", subtype: str = "subtype") -> DataFrame:
+                 text: str = "text", label: str = "label", subtype: str = "subtype", multi_line: bool = True) -> DataFrame:
     """Read + fill/strip text and label + default subtype + fail on blank rows (first 5 shown)."""
-    df = read_labelled(spark, path, sep) if sep else read_labelled_auto(spark, path)
+    df = read_labelled(spark, path, sep, multi_line) if sep else read_labelled_auto(spark, path, multi_line)
+    if subtype not in df.columns:
+        df = df.withColumn(subtype, F.lit(None).cast("string"))
     df = C.default_subtype(C.fill_text_label(df, text, label), subtype)
     return C.assert_no_blank(df, text, label, key=key)
 

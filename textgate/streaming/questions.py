@@ -50,19 +50,22 @@ def start_sink(df: DataFrame, sink: str, checkpoint: str, once: bool = True, fmt
 
 
 def stream_clean(spark: SparkSession, source: str, schema, sink: str, checkpoint: str, keep=("conv_id", "turn"),
-                 text: str = "text", once: bool = True, glob: str | None = None) -> StreamingQuery:
+                 text: str = "text", once: bool = True, glob: str | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """source → strip → drop blank → drop control words → append sink."""
-    q = clean_questions(read_questions(spark, source, schema, glob=glob), text).select(*keep, text)
+    stream = read_questions(spark, source, schema, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    q = clean_questions(stream, text).select(*keep, text)
     return start_sink(q, sink, checkpoint, once)
 
 
 def stream_score(spark: SparkSession, source: str, schema, model, sink: str, checkpoint: str,
                  keep=("conv_id", "turn"), text: str = "text", once: bool = True,
-                 glob: str | None = None) -> StreamingQuery:
+                 glob: str | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """… then score each question with the gate (a stateless map; the fitted pipeline ships once)."""
     from textgate.operators.score import score
 
-    q = clean_questions(read_questions(spark, source, schema, glob=glob), text)
+    stream = read_questions(spark, source, schema, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    q = clean_questions(stream, text)
     s = score(q.select(*keep, text), model, text).select(
         *keep, text, "predicted_id", "predicted_label", "confidence", "probabilities")
     return start_sink(s, sink, checkpoint, once)

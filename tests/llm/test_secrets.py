@@ -1,0 +1,82 @@
+import hashlib
+import random
+import re
+
+from textgate.llm import secrets as S
+
+R = random.Random(9)
+HEX, B62 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+
+
+def corpus():
+    syllables = ["the", "re", "an", "tion", "ing", "er", "on", "and", "house", "water"]
+
+    def words(n):
+        return [R.choice(syllables) + R.choice(syllables) for _ in range(n)]
+
+    rows, truth = [], set()
+    for i in range(240):
+        w = words(40)
+        if i % 3 == 0:
+            secret = "".join(R.choice(HEX) for _ in range(40))
+            w[10:10] = ["token", "=", f'"{secret}"']
+        elif i % 3 == 1:
+            secret = "AKIA" + "".join(R.choice(B62) for _ in range(16))
+            w.insert(20, secret)
+        else:
+            secret = "".join(R.choice(HEX) for _ in range(18))
+            w.insert(5, f"password={secret}")
+        w.insert(30, "".join(words(3)))  # a long word
+        if i % 4 == 0:
+            w.append("1234567890123456789")
+        truth.add((i, hashlib.sha256(secret.encode()).hexdigest()))
+        rows.append((i, " ".join(w), "docs/a.md" if i % 2 else None))
+    return rows, truth
+
+
+ROWS, TRUTH = corpus()
+EDGE = [(1000, None, "x"), (1001, "", None), (None, "nothing here", None), (1002, "a\u0001b\u0002 " + "x" * 20 + " \u0001", "p"),
+        (1003, "z" * 100_000, "p"), (1004, "=" * 40, "p"), (1004, "=" * 40, "p"), (1005, "AKIA" + "Q1" * 8 + " " + "ab" * 10, "p")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2.0) for r in rows], "doc_id long, text string, source string, length int, score double")
+
+
+def test_candidates_equal_a_plain_search(spark):
+    rows = ROWS + EDGE
+    got = sorted((repr(r.id), r.number, r.start, r.candidate) for r in S.candidates(frame(spark, rows)).collect())
+    want = []
+    for k, t, _ in rows:
+        t = (t or "").replace("\u0001", " ").replace("\u0002", " ")
+        pattern = (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
+                   r"|(?i:(?:(?<=token=)|(?<=password=)|(?<=passwd=)|(?<=pwd=)|(?<=secret=))[^\s\"']{8,})")
+        want += [(repr(k), n, m.start(), m.group()) for n, m in enumerate(re.finditer(pattern, t))]
+    assert got == sorted(want)
+
+
+def test_forest_removes_false_positives(spark):
+    got = S.scan(frame(spark, ROWS + EDGE)).collect()
+    hits = {(r.doc_id, r.sha256) for r in got if r.is_secret and r.doc_id is not None and r.doc_id < 1000}
+    assert len(hits & TRUTH) >= 0.98 * len(TRUTH) and len(hits - TRUTH) <= 3
+    assert all(0 <= r.score <= 1 for r in got) and sum(not r.is_secret for r in got) > 200
+
+
+def test_own_labels_train_the_forest(spark):
+    df = frame(spark, ROWS)
+    found = S.candidates(df)
+    labelled = found.withColumn("label", found["candidate"].rlike("^AKIA").cast("double"))  # only these count here
+    got = S.scan(df, labelled=labelled).collect()
+    own = {(r.doc_id, r.sha256) for r in got if r.is_secret}
+    assert own == {(k, h) for k, h in TRUTH if k % 3 == 1}
+
+
+def test_nothing_to_learn_and_empty(spark):
+    got = S.scan(frame(spark, [(1, "x" * 20, None)])).collect()
+    assert [(r.score, r.is_secret, r.start) for r in got] == [(None, True, 0)]
+    assert S.scan(frame(spark, [])).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = S.scan(frame(spark, ROWS[:60]))._jdf.queryExecution().toString()
+    assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "CartesianProduct"))

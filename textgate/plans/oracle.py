@@ -349,6 +349,9 @@ oracle("write_splits", split_sql(DEFAULT_FRACTIONS).replace(
     "SELECT r.doc_id, r.label, CASE", "SELECT r.doc_id, c.text, r.label, c.subtype, CASE").replace(
     "FROM ranked r JOIN", "FROM ranked r JOIN clean c ON r.doc_id = c.doc_id JOIN"))
 oracle("write_metrics", ORACLE["evaluate"])
+oracle("write_history", ORACLE["best_candidates"].replace("ORDER BY f1_macro DESC, epoch LIMIT 2", ""))
+oracle("write_report", "SELECT class, precision, recall, f1_score, support FROM (" + ORACLE["classification_report"] + ")")
+oracle("write_confusion", "SELECT * EXCLUDE (row_order) FROM (" + ORACLE["confusion_matrix"] + ")")
 oracle("write_label_map", with_(CLEAN, LABEL_MAP) + "SELECT CAST(id AS VARCHAR) AS id, label FROM lmap")
 oracle("read_label_map", ORACLE["build_label_map"])
 oracle("save_model", ORACLE["build_label_map"])

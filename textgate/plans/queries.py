@@ -491,6 +491,43 @@ def q_read_label_map(spark, sf):
     return R.read_label_map(spark, path)
 
 
+def _read_csv(spark, path) -> DataFrame:
+    from textgate.sources import readers as R
+
+    return spark.read.options(**R.CSV_OPTIONS, sep=",").csv(path)
+
+
+@query
+def q_write_history(spark, sf):
+    from textgate.sources import writers as W
+
+    path = _scratch(spark, "history")
+    if not W.write_history(epoch_history(spark, sf), path):
+        raise RuntimeError("no history was written")
+    back = _read_csv(spark, path)
+    return back.select(F.col("epoch").cast("int").alias("epoch"), *[r6(F.col(c).cast("double")).alias(c) for c in ("accuracy", "f1_macro")])
+
+
+@query
+def q_write_report(spark, sf):
+    from textgate.sources import writers as W
+
+    path = _scratch(spark, "report")
+    W.write_report(M.report_from_confusion(scored_conf(spark, sf)), path)
+    back = _read_csv(spark, path).withColumnRenamed("f1-score", "f1_score")
+    return back.select("class", *[r6(F.col(c).cast("double")).alias(c) for c in ("precision", "recall", "f1_score", "support")])
+
+
+@query
+def q_write_confusion(spark, sf):
+    from textgate.sources import writers as W
+
+    path = _scratch(spark, "confusion")
+    W.write_confusion(M.confusion_matrix(scored_conf(spark, sf), list(range(10)), SCORED_CLASSES), path)
+    back = _read_csv(spark, path)
+    return back.select(back.columns[0], *[F.col(c).cast("bigint").alias(c) for c in back.columns[1:]])
+
+
 # ---------------------------------------------------------------- 2.10 training and scoring (pyspark.ml)
 
 _TRAINED: dict = {}

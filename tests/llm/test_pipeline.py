@@ -54,7 +54,7 @@ def test_mix_stage(stages):
     rows = stages[3].collect()
     want = Counter()
     for r, x in zip(rows, brute_mix([(r.doc_id, r.text, r.source) for r in rows])):
-        want[tuple(r)] += x[5] // x[1] if x[1] else 0
+        want[tuple(r)] += x[5] // x[2]
     assert Counter(tuple(r) for r in stages[4].collect()) == +want
 
 

@@ -26,8 +26,11 @@ from textgate.session import materialise
 
 #: Vectors that a block is sized for, and cells at most (their centres go to every task).
 BLOCK, CELLS = 6000, 512
-#: Slack for rounding in bounds; pairs they do not decide are compared by their cosine itself.
-SLACK = 1e-9
+#: Points up to which a node among many is not bounded but opened at once.
+FEW = 8
+#: Slack for rounding in bounds, in double and in single precision; pairs that the bounds do not
+#: decide are compared by their cosine in double precision.
+SLACK, COARSE = 1e-9, 1e-5
 
 
 @dataclass
@@ -43,6 +46,7 @@ class Level:
 @dataclass
 class CoverTree:
     points: np.ndarray
+    coarse: np.ndarray  # the points in single precision, for bounds
     order: np.ndarray  # points, so that every node's are next to each other
     levels: list[Level]
     span: list[tuple[np.ndarray, np.ndarray]]  # per level: where a node's points start in order, how many
@@ -54,62 +58,65 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _net(points: np.ndarray, members: np.ndarray, radius: float, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """(centres, for each member the place of its centre): centres lie more than ``radius`` apart
-    and members at most that from theirs. The first member is a centre."""
-    centres, own = [members[0]], np.zeros(len(members), np.int64)
-    matrix = np.empty((len(members), points.shape[1]))
-    matrix[0] = points[members[0]]
+    and members at most that from theirs, as far as the points' precision goes (the nodes' own
+    radii are measured later). The first member is a centre."""
+    least = 1 - radius * radius / 2  # of the cosine, within the radius
+    centres, own = np.empty(len(members), np.int64), np.zeros(len(members), np.int64)
+    matrix, n = np.empty((len(members), points.shape[1]), points.dtype), 1
+    centres[0], matrix[0] = members[0], points[members[0]]
     for at in range(0, len(members), block):
-        part = members[at:at + block]
-        d = _distances(points[part], matrix[:len(centres)])
-        near = d.argmin(1)
+        part = points[members[at:at + block]]
+        cos = part @ matrix[:n].T
+        near = cos.argmax(1)
         own[at:at + block] = near
-        todo = np.flatnonzero(d[np.arange(len(part)), near] > radius)
-        inner = _distances(points[part[todo]], points[part[todo]])
-        open_ = np.ones(len(todo), bool)
-        for k in range(len(todo)):
+        todo = np.flatnonzero(cos[np.arange(len(part)), near] < least)
+        close = part[todo] @ part[todo].T >= least
+        np.fill_diagonal(close, True)
+        alone = close.sum(1) == 1
+        order = np.concatenate([np.flatnonzero(alone), np.flatnonzero(~alone)])
+        open_ = ~alone
+        new = np.flatnonzero(alone).tolist()
+        own[at + todo[new]] = n + np.arange(len(new))
+        for k in order[len(new):].tolist():
             if open_[k]:
-                covered = open_ & (inner[k] <= radius)
-                covered[k] = True
-                own[at + todo[covered]] = len(centres)
-                matrix[len(centres)] = points[part[todo[k]]]
-                centres.append(part[todo[k]])
+                covered = open_ & close[k]
+                own[at + todo[covered]] = n + len(new)
+                new.append(k)
                 open_ &= ~covered
-    return np.array(centres), own
+        centres[n:n + len(new)], matrix[n:n + len(new)] = members[at + todo[new]], part[todo[new]]
+        n += len(new)
+    return centres[:n], own
 
 
 def build(points: np.ndarray, smallest: float) -> CoverTree:
     """The tree of unit vectors down to covering radius ``smallest`` or single points."""
     order, radius = np.arange(len(points)), 2.0
-    nodes = [(0, 0, len(points))]  # centre, start in order, points
-    tree = CoverTree(points, order, [], [])
-    while nodes:
-        centre = np.array([n[0] for n in nodes])
-        start, size = np.array([n[1] for n in nodes]), np.array([n[2] for n in nodes])
-        own = np.repeat(centre, size)
-        far = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", points[order], points[own]), 0))
-        level = Level(centre, np.maximum.reduceat(far, start), np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64))
+    centre, start, size = np.array([0]), np.array([0]), np.array([len(points)])
+    tree = CoverTree(points, points.astype(np.float32), order, [], [])
+    while True:
+        far = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", points[order], points[np.repeat(centre, size)]), 0))
+        level = Level(centre, np.maximum.reduceat(far, start), np.zeros(len(centre), np.int64), np.zeros(len(centre), np.int64))
         level.radius[size == 1] = 0  # the distance of a point to itself may round to something else
         tree.levels.append(level)
         tree.span.append((start, size))
         radius /= 2
         if radius < smallest or (size == 1).all():
-            break
-        below = []
-        for k, (c, s, n) in enumerate(nodes):
-            level.first[k] = len(below)
-            if n == 1 or level.radius[k] <= radius:
-                below.append((c, s, n))
-            else:
-                members = order[s:s + n]
-                members = np.concatenate([[c], members[members != c]])  # the centre stays one
-                centres, own = _net(points, members, radius)
-                by = np.argsort(own, kind="stable")
-                order[s:s + n] = members[by]
-                sizes = np.bincount(own, minlength=len(centres))
-                below += zip(centres.tolist(), (s + np.cumsum(sizes) - sizes).tolist(), sizes.tolist())
-            level.count[k] = len(below) - level.first[k]
-        nodes = below
-    return tree
+            return tree
+        wide = (size > 1) & (level.radius > radius)
+        below = [(centre[~wide], start[~wide], size[~wide])]
+        for c, s, n in zip(centre[wide].tolist(), start[wide].tolist(), size[wide].tolist()):
+            members = order[s:s + n]
+            members = np.concatenate([[c], members[members != c]])  # the centre stays one
+            centres, own = _net(tree.coarse, members, radius)
+            order[s:s + n] = members[np.argsort(own, kind="stable")]
+            sizes = np.bincount(own, minlength=len(centres))
+            below.append((centres, s + np.cumsum(sizes) - sizes, sizes))
+        # nodes are in the order of their points, so a node's children are next to each other
+        centre, below_start, below_size = (np.concatenate(x) for x in zip(*below))
+        by = np.argsort(below_start)
+        level.first[:] = np.searchsorted(below_start[by], start)
+        level.count[:] = np.searchsorted(below_start[by], start + size) - level.first
+        centre, start, size = centre[by], below_start[by], below_size[by]
 
 
 def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -146,6 +153,17 @@ def dual_traversal(a: CoverTree, b: CoverTree, threshold: float, chunk: int = 1
         if keep.any():
             yield x[keep], y[keep]
 
+    def points(da: int, ia: np.ndarray, db: int, ib: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        x, y = a.order[_spread(a.span[da][0][ia], a.span[da][1][ia])], b.order[_spread(b.span[db][0][ib], b.span[db][1][ib])]
+        right = b.coarse[y].T
+        rows = max(1, 4 * chunk // max(1, len(y)))
+        for at in range(0, len(x), rows):
+            i, j = np.nonzero(a.coarse[x[at:at + rows]] @ right >= threshold - COARSE)
+            i, j = x[at + i], y[j]
+            keep = np.einsum("ij,ij->i", a.points[i], b.points[j]) >= threshold
+            if keep.any():
+                yield i[keep], j[keep]
+
     stack = [(0, np.array([0]), np.array([0]))]
     while stack:
         depth, ia, ib = stack.pop()
@@ -165,19 +183,24 @@ def dual_traversal(a: CoverTree, b: CoverTree, threshold: float, chunk: int = 1
         fa, ca = (la.first[ia], la.count[ia]) if da < len(a.levels) - 1 else (ia, np.ones(len(ia), np.int64))
         fb, cb = (lb.first[ib], lb.count[ib]) if db < len(b.levels) - 1 else (ib, np.ones(len(ib), np.int64))
         na, nb = min(depth + 1, len(a.levels) - 1), min(depth + 1, len(b.levels) - 1)
-        # children of a wide pair of nodes are bounded as one matrix product, the others as a list
+        # children of a wide pair of nodes are met by matrix products, the others as a list
         wide = ca * cb > 4096
         for k in np.flatnonzero(wide):
             xa, xb = np.arange(fa[k], fa[k] + ca[k]), np.arange(fb[k], fb[k] + cb[k])
-            rows = max(1, 4 * chunk // len(xb))
-            right, radius = b.points[b.levels[nb].centre[xb]].T, b.levels[nb].radius[xb]
-            for at in range(0, len(xa), rows):
-                part = xa[at:at + rows]
-                far = a.levels[na].radius[part][:, None] + radius + (reach + SLACK)
-                # d <= far as 2 - 2 cos <= far squared
-                x, y = np.nonzero(a.points[a.levels[na].centre[part]] @ right >= 1 - far * far / 2 - SLACK)
-                if len(x):
-                    stack.append((depth + 1, part[x], xb[y]))
+            few_a, few_b = a.span[na][1][xa] <= FEW, b.span[nb][1][xb] <= FEW
+            yield from points(na, xa[few_a], nb, xb[few_b])
+            for some_a, some_b in ((xa[~few_a], xb), (xa[few_a], xb[~few_b])):
+                if not len(some_a) or not len(some_b):
+                    continue
+                right, radius = b.coarse[b.levels[nb].centre[some_b]].T, b.levels[nb].radius[some_b] + reach
+                rows = max(1, 4 * chunk // len(some_b))
+                for at in range(0, len(some_a), rows):
+                    part = some_a[at:at + rows]
+                    # d <= far as 2 - 2 cos <= far squared
+                    far = (a.levels[na].radius[part][:, None] + radius).astype(np.float32)
+                    x, y = np.nonzero(a.coarse[a.levels[na].centre[part]] @ right >= 1 - far * far / 2 - COARSE)
+                    if len(x):
+                        stack.append((depth + 1, part[x], some_b[y]))
         ia, ib, fa, ca, fb, cb = (v[~wide] for v in (ia, ib, fa, ca, fb, cb))
         each = np.cumsum(ca * cb)
         at = 0

@@ -32,7 +32,7 @@ END = b"\n"
 SMOOTHING = 0.1
 #: Words with a parameter row of their own, and words whose counts go to every task, at most.
 VOCABULARY, FREQUENT = 1024, 100_000
-HIDDEN, CLASSES, WINDOW, STREAMS, ROUNDS, REPLICAS = 16, 20, 16, 512, 2, 2048
+HIDDEN, CLASSES, WINDOW, STREAMS, ROUNDS, REPLICAS = 16, 20, 32, 512, 2, 2048
 RATE = 0.08
 
 
@@ -133,22 +133,26 @@ def _run(m: Model, state: np.ndarray, inputs: np.ndarray, keep: np.ndarray) -> t
     return states, before, gates, cand, from_state
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
-    return logits
+def _softmax(logits: np.ndarray, pick: np.ndarray, normalise: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(log probability of the picked column of each row, probabilities). Logits count as at most
+    60 either way, so nothing overflows. Probabilities are summed by a product with ones."""
+    np.clip(logits, -60, 60, out=logits)
+    chosen = logits[np.arange(len(pick)), pick]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], np.float32)
+    if normalise:
+        logits /= total[:, None]
+    return chosen - np.log(total), logits
 
 
 def _outputs(m: Model, words: Words, h: np.ndarray, target: np.ndarray, grad: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of each target; with ``grad``, fills it (per token mean) and returns dh."""
-    rows = np.arange(len(target))
     classes = words.class_of[target]
-    logits = _log_softmax(h @ m.wc + m.bc)
-    out = logits[rows, classes].astype(float)
-    dh = None
-    if grad is not None:
-        d = np.exp(logits)
-        d[rows, classes] -= 1
+    learn, dh = grad is not None, None
+    logs, d = _softmax(h @ m.wc + m.bc, classes, learn)
+    out = logs.astype(float)
+    if learn:
+        d[np.arange(len(target)), classes] -= 1
         d /= len(target)
         dh = d @ m.wc.T
         grad["wc"], grad["bc"], grad["ww"], grad["bw"] = h.T @ d, d.sum(0), np.zeros_like(m.ww), np.zeros_like(m.bw)
@@ -159,12 +163,10 @@ def _outputs(m: Model, words: Words, h: np.ndarray, target: np.ndarray, grad: di
         mine = order[(ends[c - 1] if c else 0):ends[c]]
         if b - a < 2 or not len(mine):
             continue
-        part = h[mine]
-        logits = _log_softmax(part @ m.ww[a:b].T + m.bw[a:b])
-        pick = target[mine] - a
-        out[mine] += logits[np.arange(len(mine)), pick]
-        if grad is not None:
-            d = np.exp(logits, out=logits)
+        part, pick = h[mine], target[mine] - a
+        logs, d = _softmax(part @ m.ww[a:b].T + m.bw[a:b], pick, learn)
+        out[mine] += logs
+        if learn:
             d[np.arange(len(mine)), pick] -= 1
             d /= len(target)
             dh[mine] += d @ m.ww[a:b]
@@ -242,22 +244,24 @@ class Trainer:
             _, dh = _outputs(m, self.words, states[1:][real], target[real], grad)
             into = np.zeros(before.shape, np.float32)
             into[real] = dh
-            d_input, d_state = np.empty((*inputs.shape, 3 * k), np.float32), np.empty((*inputs.shape, 3 * k), np.float32)
-            later = np.zeros_like(state)
+            z, r = gates[:, :, :k], gates[:, :, k:]
+            # what a step's error is multiplied with on its way into each gate, for all steps at once
+            to_update, to_candidate, to_reset = (before - cand) * z * (1 - z), (1 - z) * (1 - cand * cand), from_state * r * (1 - r)
+            d_candidate, d_state = np.empty_like(cand), np.empty((*inputs.shape, 3 * k), np.float32)
+            later, back = np.zeros_like(state), np.ascontiguousarray(m.u.T)
             for t in range(len(inputs) - 1, -1, -1):
-                z, r = gates[t, :, :k], gates[t, :, k:]
                 d = into[t] + later
-                dz = d * (before[t] - cand[t]) * z * (1 - z)
-                dn = d * (1 - z) * (1 - cand[t] ** 2)
-                dr = dn * from_state[t] * r * (1 - r)
-                d_input[t, :, :k], d_input[t, :, k:2 * k], d_input[t, :, 2 * k:] = dz, dr, dn
-                d_state[t, :, :2 * k] = d_input[t, :, :2 * k]
-                d_state[t, :, 2 * k:] = dn * r
-                later = (d * z + d_state[t] @ m.u.T) * keep[t, :, None]
+                dn = np.multiply(d, to_candidate[t], out=d_candidate[t])
+                np.multiply(d, to_update[t], out=d_state[t, :, :k])
+                np.multiply(dn, to_reset[t], out=d_state[t, :, k:2 * k])
+                np.multiply(dn, r[t], out=d_state[t, :, 2 * k:])
+                later = (d * z[t] + d_state[t] @ back) * keep[t, :, None]
             grad["u"] = before.reshape(-1, k).T @ d_state.reshape(-1, 3 * k)
             order = np.argsort(inputs.ravel(), kind="stable")
-            rows, first = np.unique(inputs.ravel()[order], return_index=True)
-            self._step("wx", rows, np.add.reduceat(d_input.reshape(-1, 3 * k)[order], first))
+            token_at = inputs.ravel()[order]
+            first = np.flatnonzero(np.concatenate([[True], token_at[1:] != token_at[:-1]]))
+            d_input = np.concatenate([d_state[:, :, :2 * k], d_candidate], axis=2).reshape(-1, 3 * k)[order]
+            self._step("wx", token_at[first], np.add.reduceat(d_input, first))
             for name in ("u", "wc", "bc", "ww", "bw"):
                 self._step(name, ..., grad[name])
             self.seen += int(real.sum())
@@ -315,8 +319,9 @@ def _lookup(words: Words, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.
 def _train_replica(words: Words, values: np.ndarray, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(Model(words).set_flat(values), words)
+        own = {w: i for w, i in words.place.items() if i < words.rare}  # small enough to stay in the cache
         for batch in batches:
-            ids = [words.model_id[place].astype(np.int32) for _, texts in slices([batch]) for _, place in _lookup(words, texts)]
+            ids = [np.fromiter(map(own.get, [*tokens(text), END], repeat(words.rare)), np.int32) for _, texts in slices([batch]) for text in texts]
             if ids:
                 trainer.learn(ids)
         if trainer.seen:

@@ -124,3 +124,25 @@ def test_nothing_to_learn_from_and_empty(spark):
     got = L.lm_scores(df, F.lit(False)).collect()
     assert len(got) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in got)
     assert L.lm_scores(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    """Words of a count of sqrt(tokens) / 64 or more have a probability of their own, also beyond 1,024."""
+    counts = [(b"w%d" % i, 3000 // (i // 10 + 1)) for i in range(5000)] + [(L.END, 300)]
+    n = sum(c for _, c in counts)
+    least = max(5, math.sqrt(n) / 64)
+    words = L.words_of(counts, n, len(counts))
+    own = {w for w, c in counts if c >= least}
+    assert len(own) > 2500 and {w for w, i in words.place.items() if i < words.rare} == own
+    assert len(words.starts) - 2 == pytest.approx(0.6 * math.sqrt(len(own)), rel=0.1)
+    table = spark.createDataFrame([(bytearray(w), c) for w, c in counts], "word binary, n bigint")
+    assert own <= {bytes(w) for w, _ in L.frequent_words(table, 100, down_to=least)}
+    m = L.Model(words, 4)
+    r = np.random.default_rng(4)
+    m.set_flat(r.normal(0, 0.5, m.flat().shape))
+    every = np.arange(len(words.class_of))
+    logs, _ = L._outputs(m, words, np.repeat(r.normal(size=(1, 4)).astype(np.float32), len(every), axis=0), every, None)
+    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+    state = np.zeros((1, 4), np.float32)  # two words that were one rare word before
+    a, b = (L._run(m, state, np.array([[words.place[b"w%d" % i]]]), np.ones((1, 1), np.float32))[0][-1] for i in (2000, 2500))
+    assert not np.allclose(a, b)

@@ -1,9 +1,11 @@
 """LM scoring: a gated recurrent language model, trained and run in numpy on the executors.
 
 The output is factored: P(word) = P(class) * P(word in class), with classes cut from the words by
-frequency, so a token costs two small softmaxes. Words outside the model's vocabulary are one
-class of their own; inside it a word has its smoothed share of that class's training tokens. All
-texts are scored whole: the recurrent state is carried from window to window until a text ends.
+frequency, so a token costs two small softmaxes. The vocabulary grows with the corpus: its words
+are all those above a count that grows with the root of the tokens, so the tail's share of the
+tokens falls. The tail's words are one class of their own; inside it a word has its smoothed share
+of that class's training tokens. All texts are scored whole: the recurrent state is carried from
+window to window until a text ends.
 
 Training is truncated backpropagation through time. Each task trains a replica on its documents,
 in parallel streams that carry their state over the windows; after each round the replicas'
@@ -30,9 +32,12 @@ from textgate.session import materialise
 #: The token at the end of a text; no word holds a line feed.
 END = b"\n"
 SMOOTHING = 0.1
-#: Words with a parameter row of their own, and words whose counts go to every task, at most.
-VOCABULARY, FREQUENT = 1024, 100_000
-HIDDEN, CLASSES, WINDOW, STREAMS, ROUNDS, REPLICAS = 16, 20, 32, 512, 2, 2048
+#: A word has a parameter row of its own from a count of sqrt(tokens) / DENSITY on, and of LEAST;
+#: the VOCABULARY highest counts have one in any case.
+VOCABULARY, DENSITY, LEAST = 1024, 64, 5
+#: Words whose counts go to every task, besides the model's words.
+FREQUENT = 100_000
+HIDDEN, WINDOW, STREAMS, ROUNDS, REPLICAS = 16, 32, 512, 2, 2048
 RATE = 0.08
 
 
@@ -55,10 +60,22 @@ class Words:
         return len(self.class_of) - 1
 
 
-def words_of(frequent: list[tuple[bytes, int]], n: int, v: int, size: int = VOCABULARY, classes: int = CLASSES) -> Words:
-    """From (word, count) of the frequent words, the tokens ``n`` and the distinct words ``v``."""
+def least_count(n: int) -> float:
+    """The count from which on a word is the model's, in a corpus of ``n`` tokens."""
+    return max(LEAST, math.sqrt(n) / DENSITY)
+
+
+def words_of(frequent: list[tuple[bytes, int]], n: int, v: int, size: int | None = None, classes: int | None = None) -> Words:
+    """From (word, count) of the frequent words, the tokens ``n`` and the distinct words ``v``.
+
+    Without ``size`` the model's words are those of ``least_count`` or more; without ``classes``
+    there are 0.6 times the root of their number, where both softmaxes cost about the same.
+    """
     ends = next((c for w, c in frequent if w == END), 0)
     ranked = sorted((x for x in frequent if x[0] != END), key=lambda x: (-x[1], x[0]))
+    if size is None:
+        size = max(VOCABULARY, 2 + sum(c >= least_count(n) for _, c in ranked))
+    classes = classes or round(0.6 * math.sqrt(size))
     own = sorted([(END, ends), *ranked[:size - 2]], key=lambda x: (-x[1], x[0]))  # END is always the model's
     ranked = own + ranked[size - 2:]
     counts = np.array([c for _, c in ranked], float)
@@ -293,9 +310,10 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         .groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int = FREQUENT) -> list[tuple[bytes, int]]:
-    """The words of the highest counts, ``most`` at most: all above a step of an eighth of a power
-    of two, found from a histogram of some hundred rows, so nothing is sorted."""
+def frequent_words(counts: DataFrame, most: int = FREQUENT, *, down_to: float = math.inf) -> list[tuple[bytes, int]]:
+    """The words of the highest counts, ``most`` at most, and all words of a count of ``down_to``:
+    all above a step of an eighth of a power of two, found from a histogram of some hundred rows,
+    so nothing is sorted."""
     step = F.floor(F.log2("n") * 8)
     total, least = 0, math.inf
     for row in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():
@@ -303,6 +321,8 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> list[tuple[bytes,
         if total > most:
             break
         least = row["step"]
+    if down_to < math.inf:
+        least = min(least, math.floor(math.log2(down_to) * 8))
     got = counts.filter((step >= F.lit(float(least))) | (F.col("word") == END)).toArrow()
     return list(zip(got.column("word").to_pylist(), got.column("n").to_pylist()))
 
@@ -319,7 +339,7 @@ def _lookup(words: Words, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.
 def _train_replica(words: Words, values: np.ndarray, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(Model(words).set_flat(values), words)
-        own = {w: i for w, i in words.place.items() if i < words.rare}  # small enough to stay in the cache
+        own = {w: i for w, i in words.place.items() if i < words.rare}
         for batch in batches:
             ids = [np.fromiter(map(own.get, [*tokens(text), END], repeat(words.rare)), np.int32) for _, texts in slices([batch]) for text in texts]
             if ids:
@@ -345,9 +365,9 @@ def _average(table: pa.Table) -> pa.Table:
 def train(docs: DataFrame, words: Words, text_col: str = "text", rounds: int = ROUNDS, replicas: int = REPLICAS) -> Model:
     """Train on every row of ``docs``, each in one of ``rounds`` (by the hash of its text).
 
-    At most ``replicas`` tasks train at a time; a replica is 0.5 MB, averaged in parts, so the
-    averaging of a part reads ``replicas`` times 32 kB at most. The result is the only thing that
-    reaches the driver.
+    At most ``replicas`` tasks train at a time; a replica is 260 bytes a model word, averaged in
+    parts, so the averaging of a part reads ``replicas`` times 32 kB at most. The result is the
+    only thing that reaches the driver.
     """
     model = Model(words)
     text = F.col(text_col).alias("text")
@@ -401,14 +421,14 @@ def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_
     empty ones; an empty text is its END. Repeated rows score alike. Without any training row all
     counts are 0. Other columns are not read; an empty table gives an empty one.
 
-    The ``FREQUENT`` highest counts go to every task (some MB). Tokens outside of them, which no
+    The model's words and the ``FREQUENT`` highest counts go to every task (some MB). Tokens outside of them, which no
     task knows the counts of, are summed up per text, written with the scores, and joined with the
     count table; no word among them is frequent, so no key of that join is hot.
     """
     learn = docs.filter(learn_from)
     counts = materialise(word_counts(learn, text_col), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    words = words_of(frequent_words(counts), n, v)
+    words = words_of(frequent_words(counts, down_to=least_count(n)), n, v)
     model = train(learn, words, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(

@@ -101,3 +101,12 @@ def test_empty_and_limits(spark):
     assert simhash_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     with pytest.raises(ValueError):
         simhash_groups(spark.createDataFrame([], "doc_id long, text string"), most=4)
+
+
+def test_unrelated_documents_without_an_id_are_all_kept(spark):
+    texts = [" ".join(f"{a}{i}" for i in range(80)) for a in "abc"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, "quite another text")]
+    kept = keep_smallest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, rows))
+    groups = simhash_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r.root for r in groups}) == 4 and sum(r.component_id is None for r in groups) == 3

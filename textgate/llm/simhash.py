@@ -216,7 +216,8 @@ def _link_batches(most: int):
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                    most: int = MAX_BITS) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, text_hash (Spark's xxhash64 of the text), print
-    (bigint, the fingerprint's bits), component_id.
+    (bigint, the fingerprint's bits), component_id, root (a fingerprint of the group, the same for
+    all its rows and of no other group).
 
     component_id is the smallest id reachable by links of ``most`` bits (3 at most). Texts with no
     word have fingerprint 0 and are linked like any other; null texts are empty ones. Null ids are
@@ -238,18 +239,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     linked = components(edges).withColumnsRenamed({"node": "print", "component": "root"})
     linked = linked.join(reps, "print")
     names = linked.groupBy("root").agg(F.min("rep").alias("smallest"))
-    named = linked.join(names, "root").select("print", "smallest")
-    groups = materialise(reps.join(named, "print", "left")
-                         .select("print", F.coalesce("smallest", "rep").alias("component_id")), "groups")
-    return prints.join(groups, "print").select(F.col("id").alias(id_col), "text_hash", "print", "component_id")
+    named = linked.join(names, "root").select("print", "smallest", "root")
+    groups = materialise(reps.join(named, "print", "left").select(
+        "print", F.coalesce("smallest", "rep").alias("component_id"), F.coalesce("root", "print").alias("root")), "groups")
+    return prints.join(groups, "print").select(F.col("id").alias(id_col), "text_hash", "print", "component_id", "root")
 
 
 def keep_smallest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                   most: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs``, all columns, that ``simhash_groups`` has first in their group: the one
-    with the smallest id (then text_hash; null ids last). Rows that repeat its id and text stay too."""
+    with the smallest id (then text_hash; null ids last). Rows that repeat its id and text stay too.
+    Groups are told apart by their root, as unrelated ones may share an id or have null ids only."""
     groups = simhash_groups(docs, id_col, text_col, shingle, most)
-    first = groups.groupBy("component_id").agg(F.min(F.struct(
+    first = groups.groupBy("root").agg(F.min(F.struct(
         F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("text_hash").alias("hash"))).alias("k"))
     kept = materialise(first.select(F.col("k.id").alias("_keep_id"), F.col("k.hash").alias("_keep_hash")), "kept")
     same = docs[id_col].eqNullSafe(kept["_keep_id"]) & (F.xxhash64(docs[text_col]) == kept["_keep_hash"])

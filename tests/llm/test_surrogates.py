@@ -85,3 +85,17 @@ def test_no_values_left(spark, monkeypatch):
         S.pa.RecordBatch.from_arrays([*b.columns, S.pa.array(["same"] * b.num_rows)], ["type", "normal", "attempt", "surrogate"]) for b in batches))
     with pytest.raises(ValueError, match="more entities"):
         S.assignments(entities, KEY)
+
+
+@pytest.mark.parametrize("text, want", [
+    ("+1 (826) 555-4081 190.137.223.204", ["+1 (826) 555-4081", "190.137.223.204"]),
+    ("+1 (843) 555-7672 170.106.47.218", ["+1 (843) 555-7672", "170.106.47.218"]),
+    ("+49 30 1234 5678 190.137.223.204", ["+49 30 1234 5678", "190.137.223.204"]),
+    ("+1 (826) 555-4081 2024", ["+1 (826) 555-4081"]), ("+44 20 7946 0958 2024", ["+44 20 7946 0958"]),
+    ("+49 30 1234-5678 99", ["+49 30 1234-5678"]),
+    ("+1 826 555 4081 4111 1111 1111 1111", ["+1 826 555 4081", "4111 1111 1111 1111"]),
+    ("+49 30 1234 5678 4111 1111 1111 1111", ["+49 30 1234 5678", "4111 1111 1111 1111"]),
+    ("+44 (0)20 7946 0958", ["+44 (0)20 7946 0958"]), ("+44 020 79 46 09 58", ["+44 020 79 46 09 58"]),
+    ("+49 176 12 34 56 78", ["+49 176 12 34 56 78"]), ("+86 138 1234 5678", ["+86 138 1234 5678"])])
+def test_a_phone_ends_where_the_next_number_starts(text, want):
+    assert [x[0] for x in found(text)] == want

@@ -46,13 +46,21 @@ LETTERS = {"latin": ("aeiou", "bcdfghklmnprstvz"), "cyrillic": ("аеиоу", "
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _TITLE = "|".join(sorted((re.escape(t) for ts in TITLES.values() for t in ts), key=len, reverse=True))
 _NAME = r"[^\W\d_][^\W\d_]+(?:[-'’][^\W\d_]+)*"
+_OCTET = r"(?:25[0-5]|2[0-4]\d|[01]?\d?\d)"
+_INTERNATIONAL = r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
 PATTERN = re.compile(
     r"(?<![\w.+-])(?P<email>[\w.+-]++@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?<!\w)(?<!\d\.)(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?!\w)(?!\.\d)"
     r"|(?<!\w)(?P<card>\d(?:[ -]?\d){12,18})(?!\w)"
     r"|(?<!\w)(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
-    r"|(?<!\w)(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?![\w-])"
+    rf"|(?<!\w)(?P<phone>{_INTERNATIONAL}|\(\d{{3}}\) ?\d{{3}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}})(?![\w-])"
     rf"|(?<!\w)(?P<title>{_TITLE})(?P<gap>\.? )(?P<name>{_NAME}(?: {_NAME})?)")
+#: Entities of a fixed layout, which end a card or phone that they follow.
+FIXED = re.compile(rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\w)(?!\.\d)|(?:\d{{3}}-\d{{2}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}})(?![\w-])")
+CARD, INTERNATIONAL = re.compile(r"\d(?:[ -]?\d){12,18}(?!\w)"), re.compile(_INTERNATIONAL)
+#: The digits of a whole phone number, at most, by country code (E.164: 15 for any).
+PHONE_DIGITS = {"1": 11, "7": 11, "20": 12, "27": 11, "30": 12, "31": 11, "32": 11, "33": 11, "34": 11, "40": 11, "41": 11, "44": 12,
+                "45": 10, "47": 10, "48": 11, "52": 12, "55": 13, "61": 11, "65": 10, "81": 12, "82": 12, "86": 13, "90": 12, "91": 12}
 #: What every entity has; texts without it are not searched any further.
 ANY = re.compile(rf"[@\d]|(?<!\w)(?:{_TITLE})\.? [^\W\d_]")
 
@@ -66,6 +74,48 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
+def _ends(value: str) -> list[int]:
+    """Where the runs of digits of ``value`` end, the last one first."""
+    return [m.end() for m in re.finditer(r"\d+", value)][::-1]
+
+
+def _card_end(value: str) -> int:
+    """The end of the card number that starts ``value``, at the end of a group; 0 if there is none.
+    The usual groups (4-4-4-4, 4-6-5) go before longer runs, which may hold a date or code."""
+    usual = re.match(r"\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}|\d{6}\1\d{5})(?!\d)", value)
+    for end in ([usual.end()] if usual else []) + _ends(value):
+        if 13 <= len(digits := _digits(value[:end])) <= 19 and not _luhn(digits):
+            return end
+    return 0
+
+
+def _card_at(text: str, at: int) -> bool:
+    return (m := CARD.match(text, at)) is not None and _card_end(m.group()) > 0
+
+
+def _phone_end(text: str, start: int, end: int) -> int:
+    """The end of the international phone number that starts text[start:end], a run of groups: its
+    country's length, or where another entity or a complete number starts behind a space."""
+    value = text[start:end]
+    code = next((c for c in (value[1:2], value[1:3]) if c in PHONE_DIGITS), "")
+    most = PHONE_DIGITS.get(code, 15)
+    most += code != "" and re.match(r"[ .-]?\(?0", value[1 + len(code):]) is not None  # a trunk zero, as in +44 (0)20
+    for got in _ends(value)[::-1]:  # the shortest first: what follows decides whether it goes on
+        if got == len(value) or not INTERNATIONAL.fullmatch(value, 0, got):
+            continue
+        n, later = len(_digits(value[:got])), re.match(r"[ .-](\d+)", value[got:])
+        if n < 8 or later is None:
+            continue
+        at = start + got + 1
+        if (n >= 10 and n + len(later.group(1)) > most) or FIXED.match(text, at) or _card_at(text, at):
+            return start + got
+        if value[got] == " " and n >= 11 and re.fullmatch(r"(?:19|20)\d\d", later.group(1)):
+            return start + got
+        if value[got] == " " and n >= 10 and re.search(r"\d[-.]\d+$", value[:got]):
+            return start + got  # groups held together by dashes or dots are not carried on by a space
+    return end
+
+
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, normal form) of each entity in a text, in order, without overlaps."""
     at = 0 if ANY.search(text) else len(text)
@@ -84,6 +134,9 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             elif not value.isdigit():
                 at = start + 1  # something else may start inside
         elif kind in ("ssn", "phone"):
+            if value[0] == "+":
+                at = end = _phone_end(text, start, end)
+                value = text[start:end]
             yield start, end, kind, ("+" if value[0] == "+" else "") + _digits(value)
         else:  # names are entities word by word, so that a surname alone gets the same surrogate
             title = next(g for g, ts in TITLES.items() if m.group("title") in ts)

@@ -99,3 +99,14 @@ def test_no_values_left(spark, monkeypatch):
     ("+49 176 12 34 56 78", ["+49 176 12 34 56 78"]), ("+86 138 1234 5678", ["+86 138 1234 5678"])])
 def test_a_phone_ends_where_the_next_number_starts(text, want):
     assert [x[0] for x in found(text)] == want
+
+
+@pytest.mark.parametrize("text, want", [
+    ("4111 1111 1111 1111 12/27", [("4111 1111 1111 1111", "card")]), ("4111111111111111 12/27", [("4111111111111111", "card")]),
+    ("4111 1111 1111 1111 123", [("4111 1111 1111 1111", "card")]), ("12 4111-1111-1111-1111", [("4111-1111-1111-1111", "card")]),
+    ("123-45-6789 2024", [("123-45-6789", "ssn")]), ("123-45-6789 987-65-4321", [("123-45-6789", "ssn"), ("987-65-4321", "ssn")]),
+    ("555-123-4567 555-987-6543", [("555-123-4567", "phone"), ("555-987-6543", "phone")]),
+    ("4111 1111 1111 1111 123-45-6789", [("4111 1111 1111 1111", "card"), ("123-45-6789", "ssn")]),
+    ("4111 1111 1111 1111 190.137.223.204", [("4111 1111 1111 1111", "card"), ("190.137.223.204", "ip")])])
+def test_numbers_in_a_row_stay_apart(text, want):
+    assert [x[:2] for x in found(text)] == want

@@ -51,9 +51,10 @@ _INTERNATIONAL = r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
 PATTERN = re.compile(
     r"(?<![\w.+-])(?P<email>[\w.+-]++@[\w-]+(?:\.[\w-]+)*\.[^\W\d_]{2,})"
     r"|(?<!\w)(?<!\d\.)(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?!\w)(?!\.\d)"
-    r"|(?<!\w)(?P<card>\d(?:[ -]?\d){12,18})(?!\w)"
+    # the layouts of ssn and phone come first: a run of several of them is no card, even if its checksum holds
     r"|(?<!\w)(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     rf"|(?<!\w)(?P<phone>{_INTERNATIONAL}|\(\d{{3}}\) ?\d{{3}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}})(?![\w-])"
+    r"|(?<!\w)(?P<card>\d(?:[ -]?\d){12,18})(?!\w)"
     rf"|(?<!\w)(?P<title>{_TITLE})(?P<gap>\.? )(?P<name>{_NAME}(?: {_NAME})?)")
 #: Entities of a fixed layout, which end a card or phone that they follow.
 FIXED = re.compile(rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\w)(?!\.\d)|(?:\d{{3}}-\d{{2}}-\d{{4}}|\d{{3}}-\d{{3}}-\d{{4}})(?![\w-])")
@@ -129,9 +130,14 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             if all(int(x) < 256 for x in value.split(".")):
                 yield start, end, kind, value
         elif kind == "card":
-            if not _luhn(digits := _digits(value)):
-                yield start, end, kind, digits
-            elif not value.isdigit():
+            for k in re.finditer(r"[ -]\d", value):  # up to an entity that starts inside
+                if FIXED.match(text, start + k.start() + 1):
+                    value = value[:k.start()]
+                    break
+            if got := _card_end(value):
+                at = start + got
+                yield start, at, kind, _digits(value[:got])
+            elif not m.group(kind).isdigit():
                 at = start + 1  # something else may start inside
         elif kind in ("ssn", "phone"):
             if value[0] == "+":

@@ -80,3 +80,13 @@ def test_nothing_to_learn_and_empty(spark):
 def test_no_python_in_the_plan(spark):
     plan = S.scan(frame(spark, ROWS[:60]))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_short_values_of_all_names_and_layouts_are_candidates(spark):
+    texts = {"password: Tr0ub4dor&3 x": "Tr0ub4dor&3", 'password = "S3cr3t!pw"': "S3cr3t!pw", '{"pwd": "abc!1234"}': "abc!1234",
+             "api_key=Zx81kQ0p": "Zx81kQ0p", "PASSWORD='abc12345'": "abc12345", "access-key   :   Qw3rty99": "Qw3rty99",
+             "credential = 'k9$k9$k9'": "k9$k9$k9", "token=abcd1234": "abcd1234", "a long_private_key=Zx81kQ0p": "Zx81kQ0p"}
+    rows = [(i, t, "p") for i, t in enumerate(texts)] + [(99, "note: something else, password: short, key = 12345678", "p")]
+    got = [(r.id, r.start, r.candidate) for r in S.candidates(frame(spark, rows)).collect()]
+    want = [(i, t.index(v), v) for i, (t, v) in enumerate(texts.items())]
+    assert sorted(x for x in got if len(x[2]) < 16) == want

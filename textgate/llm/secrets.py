@@ -26,7 +26,11 @@ NAMES = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]
 PREFIXES = r"^(AKIA|ASIA|ghp_|gho_|ghs_|github_pat_|glpat-|xox[abp]-|sk_live_|rk_live_|AIza|npm_|pypi-)"
 TEST_PATHS = "test|example|sample|fixture|doc|mock"
 CHARS = r"[A-Za-z0-9+/_-]"
-CANDIDATE = rf"(?<!{CHARS}){CHARS}{{16,}}={{0,2}}|(?i:(?<=(?:token|password|passwd|pwd|secret)=))[^\s\"']{{8,}}"
+#: Between a name and its value: quotes, blanks (32 at most on a side, as a look-behind is bounded) and the sign.
+SIGN = r"[=:]\s{0,32}[\"']?"
+# what is not behind a sign at all is ruled out before the names are tried
+ASSIGNED = rf"(?<=[=:\s\"'])(?=[^\s\"']{{8}})(?<={SIGN})(?i:(?<=(?:{NAMES})[\"']?\s{{0,32}}{SIGN}))[^\s\"']{{8,}}"
+CANDIDATE = rf"(?<!{CHARS}){CHARS}{{16,}}={{0,2}}|{ASSIGNED}"
 #: Marks around candidates while a text is cut; they are taken out of texts first.
 OPEN, CLOSE = "\u0001", "\u0002"
 #: Classes of characters: digits, hexadecimal and other small letters, capitals, the rest.
@@ -84,7 +88,7 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         "vowels": share("[aeiouAEIOU]", c), "vowel_next_consonant": share("[aeiou](?=[bcdfghjklmnpqrstvwxyz])", lower),
         "covered": 1 - uncovered / n,
         "path_depth": F.regexp_count("path", F.lit("/")), "path_is_test": F.col("path").rlike(f"(?i){TEST_PATHS}"),
-        "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$"), "named": F.col("before").rlike(rf"(?i)({NAMES})\s*[=:]?\s*[\"']?$"),
+        "assigned": F.col("before").rlike(r"[=:]\s*[\"']?$"), "named": F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]?\s*[\"']?$"),
         "quoted": F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']"), "in_address": F.col("before").rlike(r"(@|://|\.)\S*$"),
         "previous_is_word": previous.rlike(plain), "earlier_is_word": earlier.rlike(plain), "following_is_word": following.rlike(plain),
         "previous_length": F.length(previous), "following_length": F.length(following),
@@ -96,7 +100,7 @@ def weak_labels(found: DataFrame) -> DataFrame:
     """Findings that rules are sure of, with label: 1 for an issuer's prefix, or digits and letters
     assigned to a secret's name; 0 for letters only, or digits only. The rest is left out."""
     mixed = F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[A-Za-z]")
-    secret = mixed & (F.col("candidate").rlike(PREFIXES) | F.col("before").rlike(rf"(?i)({NAMES})\s*[=:]\s*[\"']?$"))
+    secret = mixed & (F.col("candidate").rlike(PREFIXES) | F.col("before").rlike(rf"(?i)({NAMES})[\"']?\s*[=:]\s*[\"']?$"))
     plain = F.col("candidate").rlike("^[A-Za-z/_-]+$|^[0-9]+$")
     return found.withColumn("label", F.when(secret, 1.0).when(plain, 0.0)).filter("label IS NOT NULL")
 

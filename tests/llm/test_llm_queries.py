@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_cover_tree": ["vec_id", "n_links", "component_id", "kept"],
     "op9_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op10_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
 }
 
 
@@ -27,7 +28,7 @@ def canon(cols, rows):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12)) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -41,5 +42,7 @@ def test_query(spark, name):
     if name in ORACLE:
         res = con.sql(ORACLE[name])
         assert canon(df.columns, rows) == canon(res.columns, res.fetchall())
+    elif name == "op11_whitening":
+        assert len(rows) == 32 * con.sql("SELECT count(*) FROM embeddings").fetchall()[0][0]
     elif name != "op3_secret_scan":  # which has a row per candidate
         assert len(rows) == con.sql("SELECT count(*) FROM documents").fetchall()[0][0]

@@ -12,6 +12,7 @@ from textgate.llm.secrets import op3
 from textgate.llm.sharding import op2
 from textgate.llm.simhash import op10
 from textgate.llm.surrogates import op6
+from textgate.llm.whitening import op11
 
 QUERIES = {
     "op1_gated_lm": op1,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_cover_tree": op8,
     "op9_quality_classifier": op9,
     "op10_simhash": op10,
+    "op11_whitening": op11,
 }
 
 ORACLE = {

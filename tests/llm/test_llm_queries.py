@@ -18,6 +18,7 @@ COLUMNS = {
     "op9_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op10_simhash": ["doc_id", "fingerprint", "component_id"],
     "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13_prefix_trie": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from textgate.llm.conversation_trie import OP13_SQL, op13
 from textgate.llm.cover_tree import OP8_SQL, op8
 from textgate.llm.exact_dedup import OP4_SQL, op4
 from textgate.llm.language_model import op1
@@ -26,10 +27,12 @@ QUERIES = {
     "op9_quality_classifier": op9,
     "op10_simhash": op10,
     "op11_whitening": op11,
+    "op13_prefix_trie": op13,
 }
 
 ORACLE = {
     "op4_exact_dedup": OP4_SQL,
     "op5_source_mixing": OP5_SQL,
     "op8_cover_tree": OP8_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }

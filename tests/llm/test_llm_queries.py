@@ -18,6 +18,7 @@ COLUMNS = {
     "op9_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op10_simhash": ["doc_id", "fingerprint", "component_id"],
     "op11_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op12_order_minhash": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
     "op13_prefix_trie": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
 }
 
@@ -29,7 +30,7 @@ def canon(cols, rows):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -7,6 +7,7 @@ from textgate.llm.cover_tree import OP8_SQL, op8
 from textgate.llm.exact_dedup import OP4_SQL, op4
 from textgate.llm.language_model import op1
 from textgate.llm.mixing import OP5_SQL, op5
+from textgate.llm.order_minhash import op12
 from textgate.llm.pieces import op7
 from textgate.llm.quality import op9
 from textgate.llm.secrets import op3
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_quality_classifier": op9,
     "op10_simhash": op10,
     "op11_whitening": op11,
+    "op12_order_minhash": op12,
     "op13_prefix_trie": op13,
 }
 

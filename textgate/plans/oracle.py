@@ -343,6 +343,9 @@ FROM probs""")
 
 oracle("read_labelled", with_(CLEAN) + "SELECT doc_id, text, label, subtype FROM clean")
 oracle("read_labelled_auto", ORACLE["read_labelled"])
+oracle("read_labelled_dialects", with_(DIRTY_SQL + """,
+dialects AS (SELECT * REPLACE (' ' || chr(10) || '"; , ' || chr(9) || '|'' ' || chr(10) || text || chr(10) || ';''|' AS text) FROM dirty)""",
+                                       CLEAN_OF("dialects", "clean")) + "SELECT doc_id, text, label, subtype FROM clean")
 oracle("write_table", ORACLE["misclassified"])
 oracle("read_splits", ORACLE["stratified_split"])
 oracle("write_splits", split_sql(DEFAULT_FRACTIONS).replace(

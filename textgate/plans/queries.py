@@ -426,6 +426,27 @@ def q_read_labelled_auto(spark, sf):
     return _as_clean(R.read_labelled_auto(spark, path))
 
 
+@query
+def q_read_labelled_dialects(spark, sf):
+    """The whole table as files of four dialects in one folder, each with its own column order; texts with
+    newlines, quotes and the other dialects' delimiters, and ranges of 64 kB."""
+    from textgate.sources import readers as R
+    from textgate.sources import writers as W
+
+    path, part = _scratch(spark, "raw-dialects"), F.pmod(F.xxhash64("doc_id"), F.lit(4))
+    rows = fx.dirty(spark, sf).select("doc_id", F.concat(F.lit(" \n\"; , \t|' \n"), F.col("text"), F.lit("\n;'|")).alias("text"), "label", "subtype")
+    for k, (sep, quote) in enumerate(((";", '"'), (",", '"'), ("\t", "'"), ("|", '"'))):
+        columns = rows.columns[k:] + rows.columns[:k]
+        rows.filter(part == k).select(columns).write.mode("append").options(**{**W.WRITE_CSV, "quote": quote, "escape": quote}, sep=sep).csv(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 16))
+        back = R.read_labelled_auto(spark, path)  # which keeps these ranges
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return _as_clean(back)
+
+
 @query
 def q_write_table(spark, sf):
     from textgate.sources import readers as R

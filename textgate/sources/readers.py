@@ -2,8 +2,8 @@
 
 CSV is all-string (``inferSchema=False``; the reference coerces every field to ``str``) and bound
 by each file's own header: files of one folder may order their columns differently or lack some.
-``multiLine`` CSV cannot be split across tasks, so a pipeline should turn texts into parquet
-right after the first read (``write_table(fmt="parquet")``).
+Raw files are scanned twice on every read, so a pipeline should turn texts into parquet right
+after the first one (``write_table(fmt="parquet")``).
 """
 
 from __future__ import annotations
@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgate.operators import clean as C
+from textgate.sources.csv_ranges import read_csv
 
 # Fixed values that must equal the reference's: the raw-file delimiter, the split names.
 RAW_SEP = ";"
 DELIMITERS = (";", ",", "\t", "|")
+QUOTES = ('"', "'")
 SPLIT_NAMES = ("train", "validation", "test")
 
 CSV_OPTIONS = {"header": "true", "inferSchema": "false", "escape": '"', "quote": '"', "multiLine": "true",
@@ -27,18 +29,19 @@ CSV_OPTIONS = {"header": "true", "inferSchema": "false", "escape": '"', "quote":
 def read_labelled(spark: SparkSession, path: str, sep: str = RAW_SEP, multi_line: bool = True) -> DataFrame:
     """Delimited UTF-8 text (a leading BOM is dropped), header-named string columns, cleaned names.
 
-    ``multi_line=True`` allows quoted newlines but reads each file in one task; input known to be
-    one record per line can pass ``False`` and be split across tasks. Files with the same header
-    are read together, and the groups are put together by column name (a column that a group
-    lacks is null there).
+    Files are read in byte ranges, by as many tasks, also where quoted fields hold newlines: a scan
+    before finds out which ranges start inside a quoted field (``csv_ranges``). Input known to be one
+    record per line can pass ``multi_line=False`` and be spared that scan. Every file is bound by its own
+    header; a column that a file lacks is null there.
     """
-    groups = [C.clean_header(_csv(spark, files, sep, multi_line)) for _, files in files_by_header(spark, path)]
-    if not groups:  # no file has a line
-        groups = [C.clean_header(_csv(spark, path, sep, multi_line))]
-    df = groups[0]
-    for g in groups[1:]:
-        df = df.unionByName(g, allowMissingColumns=True)
-    return C.require_columns(df)
+    return _named(spark, path, [(sep, '"')], multi_line)
+
+
+def _named(spark: SparkSession, path: str, dialects: Sequence[tuple[str, str]], multi_line: bool) -> DataFrame:
+    df = read_csv(spark, path, dialects, multi_line, expected=("text", "label") if len(dialects) > 1 else ())
+    if df is None:  # no file has a line
+        df = _csv(spark, path, dialects[0][0], multi_line)
+    return C.require_columns(C.clean_header(df))
 
 
 def _csv(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool) -> DataFrame:
@@ -47,15 +50,6 @@ def _csv(spark: SparkSession, path: str | list[str], sep: str, multi_line: bool)
     return spark.read.options(**options, sep=sep).csv(path)
 
 
-def files_by_header(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
-    """(header line, files) for each distinct first line below ``path``, one row per file."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                                         F.monotonically_increasing_id().alias("n"), "value").filter("start = 0")
-    first = lines.groupBy("file").agg(F.min(F.struct("n", "value")).alias("x")) \
-        .groupBy(F.rtrim(F.regexp_replace("x.value", "^\ufeff", "")).alias("header")).agg(F.sort_array(F.collect_list("file")).alias("files"))
-    return [(r["header"], list(r["files"])) for r in first.orderBy("header").collect()]
-
-
 def detect_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] = DELIMITERS,
                      default: str = RAW_SEP) -> str:
     """The candidate occurring most in the header line (first candidate on ties), else ``default``.
@@ -72,8 +66,9 @@ def detect_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] =
 
 
 def read_labelled_auto(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Same as ``read_labelled`` with the delimiter detected from the header."""
-    return read_labelled(spark, path, detect_delimiter(spark, path), multi_line)
+    """Same as ``read_labelled`` with delimiter and quote detected for each file: those by which its first
+    records split most evenly, where the header then has both required columns."""
+    return _named(spark, path, [(sep, quote) for quote in QUOTES for sep in DELIMITERS], multi_line)
 
 
 def load_dataset(spark: SparkSession, path: str, sep: str | None = RAW_SEP, key: str | None = None,

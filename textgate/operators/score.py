@@ -1,7 +1,7 @@
 """Scoring: logits → softmax → argmax → label, confidence and the per-class map.
 
 ``score_logits`` is pure Catalyst (higher-order array functions). ``score`` applies a trained
-``pyspark.ml`` pipeline. ``score_with_model`` wraps a caller's batch predictor (any framework)
+gate. ``score_with_model`` wraps a caller's batch predictor (any framework)
 with ``predict_batch_udf``: Arrow batches, the model loaded once per Python worker.
 """
 
@@ -42,23 +42,16 @@ def explode_probabilities(df: DataFrame, key: str | Sequence[str], col: str = "p
 def score(df: DataFrame, model, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
     """Apply a trained gate (``textgate.plans.training.GateModel``) to a text column.
 
-    The model's ``probability`` vector becomes an array; label, confidence and the map follow
-    from it exactly as in ``score_logits`` (softmax of log-probabilities is the identity).
+    The texts' tokens are hashed in the plan and their probabilities computed in Arrow batches;
+    label, confidence and the map follow from them as in ``score_logits``.
     """
-    from pyspark.ml.functions import vector_to_array
-
-    scored = model.scorer.transform(df.withColumnRenamed(text, model.text_col) if text != model.text_col else df)
-    drop = [c for c in ("tokens", "tf", "features", "rawPrediction", "prediction", "label_id") if c in scored.columns
-            and c not in df.columns]
-    scored = scored.withColumn("class_probs", vector_to_array("probability", "float64")).drop("probability", *drop)
+    scored = df.withColumn("class_probs", model.probabilities(text))
     scored = scored.withColumn("predicted_id", argmax_class("class_probs"))
     scored = scored.withColumns({
         "predicted_label": F.element_at(label_array(model.labels), F.col("predicted_id") + 1),
         "confidence": confidence("class_probs", "predicted_id"),
         "probabilities": probability_map("class_probs", model.labels),
     })
-    if text != model.text_col:
-        scored = scored.withColumnRenamed(model.text_col, text)
     return scored if keep is None else scored.select(*keep, "predicted_id", "predicted_label", "confidence",
                                                      "probabilities", "class_probs")
 

@@ -367,9 +367,9 @@ oracle("stream_score", "SELECT conv_id, turn, true AS same_as_batch FROM (" + OR
 # ---------------------------------------------------------------- models: what SQL can compute of them
 
 oracle("train_gate", "SELECT split, label, CAST(count(*) AS BIGINT) AS n FROM (" + ORACLE["stratified_split"] + ") GROUP BY split, label")
-oracle("train_candidates", """SELECT CAST(epoch AS INTEGER) AS epoch, true AS metrics_in_range, true AS best_is_max, true AS loss_is_finite
+oracle("train_candidates", """SELECT CAST(epoch AS INTEGER) AS epoch, true AS accuracy_agrees, true AS macro_agrees, true AS loss_agrees
 FROM range(1, 5) t(epoch)""")
-oracle("score", """SELECT doc_id, 2 AS n_classes, 1.0::DOUBLE AS probability_sum, true AS label_is_argmax, true AS confidence_is_max
+oracle("score", """SELECT doc_id, 2 AS n_classes, 1.0::DOUBLE AS probability_sum, true AS label_agrees, true AS confidence_agrees
 FROM documents""")
 oracle("load_model", "SELECT doc_id, true AS same_as_in_memory FROM documents")
 oracle("evaluate_model", """WITH s AS (""" + ORACLE["stratified_split"] + """)

@@ -568,17 +568,30 @@ def trained(spark, sf):
 
 @query
 def q_train_candidates(spark, sf):
-    from textgate.plans.training import materialise_splits, train_candidates
+    """Per epoch: the history's metrics against those of the validation rows scored by that epoch's state."""
+    from textgate.plans.training import log_loss, materialise_splits, train_candidates
 
     s = materialise_splits(SP.stratified_split(cleaned(spark, sf), "doc_id"), _scratch(spark, "splits"))
-    hist, _ = train_candidates(s.filter(F.col("split") == "train"), s.filter(F.col("split") == "validation"))
-    from textgate.plans.training import best_candidates
-
-    top = best_candidates(hist, keep=1).select(F.col("f1_macro").alias("top"))
-    inside = F.col("accuracy").between(0, 1) & F.col("f1_macro").between(0, 1)
-    return hist.crossJoin(F.broadcast(top)).select(  # one row beside one row per epoch
-        "epoch", inside.alias("metrics_in_range"), (F.col("f1_macro") <= F.col("top")).alias("best_is_max"),
-        ((F.col("loss") >= 0) & (F.col("loss") < 35)).alias("loss_is_finite"))
+    valid = s.filter(F.col("split") == "validation")
+    hist, models = train_candidates(s.filter(F.col("split") == "train"), valid)
+    rows = valid.select("doc_id", "text", "label")
+    for epoch, model in models.items():
+        rows = rows.withColumn(f"p{epoch}", model.probabilities("text"))
+    each = F.explode(F.map_from_arrays(F.array(*[F.lit(e) for e in models]), F.array(*[f"p{e}" for e in models]))).alias("epoch", "p")
+    label_id = F.array_position(F.array(*[F.lit(x) for x in models[1].labels]), "label") - 1
+    direct = materialise(rows.select(label_id.alias("label_id"), each).withColumns(
+        {"predicted_id": L.argmax_class("p").cast("long"), "loss": log_loss(F.col("p"), F.col("label_id"))}), "candidates")
+    recall = [F.count_if((F.col("label_id") == k) & (F.col("predicted_id") == k)) for k in (0, 1)]
+    size = [F.count_if(F.col("label_id") == k) + F.count_if(F.col("predicted_id") == k) for k in (0, 1)]
+    f1 = [F.when(n > 0, 2 * hit / n).otherwise(F.when(F.count("*") > 0, 0.0)) for hit, n in zip(recall, size)]
+    seen = [F.when(n > 0, 1).otherwise(0) for n in size]
+    direct = direct.groupBy(F.col("epoch").alias("own")).agg(
+        F.avg((F.col("label_id") == F.col("predicted_id")).cast("double")).alias("hits"),
+        ((f1[0] + f1[1]) / (seen[0] + seen[1])).alias("f1"), F.avg("loss").alias("mean_loss"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
+    return hist.join(direct, F.col("epoch") == F.col("own")).select(
+        "epoch", near("accuracy", "hits").alias("accuracy_agrees"), near("f1_macro", "f1").alias("macro_agrees"),
+        near("loss", "mean_loss").alias("loss_agrees"))
 
 
 @query
@@ -589,10 +602,11 @@ def q_train_gate(spark, sf):
 
 @query
 def q_save_model(spark, sf):
+    from textgate.sources import manifest as MF
     from textgate.sources.readers import read_label_map
 
     _, root = trained(spark, sf)
-    return read_label_map(spark, f"{root}/model/labels")
+    return read_label_map(spark, f"{root}/model/{MF.latest(spark, f'{root}/model')['version']}/labels")
 
 
 @query
@@ -610,14 +624,28 @@ def q_load_model(spark, sf):
 
 @query
 def q_score(spark, sf):
+    """Every document's prediction against one from joins alone: its words' counts meet the table of weights."""
+    from textgate.plans.epochs import token_ids
+
     res, _ = trained(spark, sf)
-    s = S.score(fx.table(spark, sf, "documents").select("doc_id", "text"), res.model)
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text")
+    scored = S.score(docs, res.model)
+    weights = materialise(res.model.weights_table(spark), "weights")
+    words = docs.select("doc_id", F.explode(token_ids("text", len(res.model.idf))).alias("feature")).groupBy("doc_id", "feature").agg(F.count("*").alias("tf"))
+    part = lambda k: F.sum(F.col("tf") * F.col("idf") * F.col("weights")[k])
+    summed = words.join(weights, "feature").groupBy(F.col("doc_id").alias("own")).agg(
+        F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("norm"), part(0).alias("s0"), part(1).alias("s1"))
+    b0, b1 = (float(x) for x in res.model.weights[-1])
+    length = F.when(F.col("norm") > 0, F.col("norm"))
+    odds = F.coalesce((F.col("s1") - F.col("s0")) / length, F.lit(0.0)) + (b1 - b0)
+    p1 = 1 / (1 + F.exp(-odds))
     values = F.map_values("probabilities")
-    return s.select(
+    label = F.when(odds > 0, res.model.labels[1]).otherwise(res.model.labels[0])
+    return scored.join(summed, F.col("doc_id") == F.col("own"), "left").select(
         "doc_id", F.size("probabilities").alias("n_classes"),
         r6(F.aggregate(values, F.lit(0.0), lambda a, x: a + x)).alias("probability_sum"),
-        (F.col("probabilities")[F.col("predicted_label")] == F.array_max(values)).alias("label_is_argmax"),
-        (F.col("confidence") == F.array_max("class_probs")).alias("confidence_is_max"))
+        ((F.col("predicted_label") == label) | (F.abs(odds) < 1e-9)).alias("label_agrees"),
+        (F.abs(F.col("confidence") - F.greatest(p1, 1 - p1)) < 1e-9).alias("confidence_agrees"))
 
 
 @query

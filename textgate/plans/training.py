@@ -1,34 +1,27 @@
-"""Training, selection and evaluation of the gate with ``pyspark.ml``.
-
-The reference fine-tunes a transformer for a few epochs and keeps the epoch with the best
-validation macro-F1. Here a candidate is a ``Pipeline(StringIndexer, RegexTokenizer, HashingTF,
-IDF, LogisticRegression)`` whose optimiser runs ``epoch`` iterations; the text features are fitted
-once and cached, each candidate is scored on the validation split through one confusion
-aggregation, and the history table drives the choice. ``HashingTF`` needs no vocabulary pass and
-``LogisticRegression`` aggregates its gradients with ``treeAggregate``: both scale with the table.
+"""Training, selection and evaluation of the gate.
+
+The reference fine-tunes a transformer for a few epochs and keeps the epoch with the best validation
+macro-F1. Here the network is a softmax classifier over hashed TF-IDF (``plans.epochs``): its epochs
+continue each other, a candidate is the state after an epoch, all candidates are scored on the
+validation split in one pass, and the history table drives the choice.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer, StringIndexerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textgate.functions.text import WS
 from textgate.operators import clean as C
 from textgate.operators import metrics as M
 from textgate.operators import split as SP
-from textgate.session import materialise
+from textgate.plans import epochs as EP
 
 # Fixed values that must equal the reference's training set-up.
 EPOCHS = 4
@@ -44,87 +37,84 @@ HISTORY_SCHEMA = T.StructType([
 
 @dataclass
 class GateModel:
-    """A fitted pipeline plus its class names in id order."""
+    """Weights (features + 1 rows, the last one the bias; a column per class), the features' inverse
+    document frequencies, and the class names in id order."""
 
-    pipeline: PipelineModel
+    weights: np.ndarray
+    idf: np.ndarray
     labels: list[str]
     text_col: str = "text"
     label_col: str = "label"
 
-    @property
-    def scorer(self) -> PipelineModel:
-        """The pipeline without its label indexer: scoring never reads the label column."""
-        return PipelineModel(stages=[s for s in self.pipeline.stages if not isinstance(s, StringIndexerModel)])
+    def probabilities(self, text: str | Column) -> Column:
+        """P(class) of a text, an array of doubles in id order."""
+        return EP.probabilities(EP.token_ids(text, len(self.idf)), self.idf, self.weights)
+
+    def weights_table(self, spark: SparkSession) -> DataFrame:
+        """(feature, idf, weights): a row per feature, and the bias as the last."""
+        flat = pa.FixedSizeListArray.from_arrays(pa.array(self.weights.ravel()), self.weights.shape[1]).cast(pa.list_(pa.float64()))
+        return spark.createDataFrame(pa.table({"feature": pa.array(np.arange(len(self.weights), dtype=np.int32)),
+                                               "idf": pa.array(np.append(self.idf, 0.0)), "weights": flat}))
 
     def save(self, path: str) -> None:
+        """Export as a new version below ``path``, then publish it in the manifest. Until that last
+        write readers load the version before; older versions stay."""
+        from textgate.sources import manifest as MF
         from textgate.sources.writers import write_label_map
 
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = SparkSession.getActiveSession()
-        write_label_map(spark, self.labels, f"{path}/labels")
+        version = uuid.uuid4().hex
+        root = f"{path.rstrip('/')}/{version}"
+        self.weights_table(spark).coalesce(1).write.parquet(f"{root}/weights")
+        write_label_map(spark, self.labels, f"{root}/labels")
         meta = spark.createDataFrame([(self.text_col, self.label_col)], "text_col string, label_col string")
-        meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+        meta.coalesce(1).write.mode("overwrite").json(f"{root}/meta")
+        MF.publish(spark, path, version, {k: MF.digests(df)[""] for k, df in model_tables(spark, root).items()})
+
+
+WEIGHTS_SCHEMA = "feature int, idf double, weights array<double>"
+
 
+def model_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    from textgate.sources.readers import read_label_map
 
-def feature_stages(text: str = "text", num_features: int = NUM_FEATURES):
-    tok = RegexTokenizer(inputCol=text, outputCol="tokens", pattern=f"(?U){WS}+", toLowercase=True, minTokenLength=1)
-    tf = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=num_features)
-    idf = IDF(inputCol="tf", outputCol="features")
-    return [tok, tf, idf]
+    return {"weights": spark.read.schema(WEIGHTS_SCHEMA).parquet(f"{root}/weights"), "labels": read_label_map(spark, f"{root}/labels"),
+            "meta": spark.read.schema("text_col string, label_col string").json(f"{root}/meta")}
 
 
 def train_candidates(train: DataFrame, validation: DataFrame, text: str = "text", label: str = "label",
-                     epochs: Sequence[int] = tuple(range(1, EPOCHS + 1)), reg_param: float = WEIGHT_DECAY,
-                     num_features: int = NUM_FEATURES, parallelism: int = 4,
-                     labels: Sequence[str] | None = None) -> tuple[DataFrame, dict[int, GateModel]]:
-    """One candidate per epoch count, each scored on ``validation``.
+                     epochs: Sequence[int] = tuple(range(1, EPOCHS + 1)), decay: float = WEIGHT_DECAY,
+                     num_features: int = NUM_FEATURES, labels: Sequence[str] | None = None, batch: int = EP.BATCH,
+                     rate: float = EP.RATE, seed: int = SEED) -> tuple[DataFrame, dict[int, GateModel]]:
+    """One training run of max(``epochs``) epochs; the states after ``epochs`` are the candidates.
 
     ``labels`` are the classes in id order (sorted, of the whole table); by default those of both
-    splits. They come to the driver, as does the classifier: ``num_features`` coefficients per
-    class, so it is meant for hundreds of classes, not for label domains of any size. The token
-    counts of both splits are written once, and every candidate reads one persisted feature table.
-    Returns the history ``(epoch, accuracy, f1_macro, loss)``, where loss is the mean log loss of the
-    validation rows, and the fitted candidates.
+    splits. They come to the driver, as does the classifier: ``num_features`` weights per class, so
+    it is meant for hundreds of classes, not for label domains of any size. Token ids of both splits are
+    written once; an epoch is one pass over those of the training rows, and all candidates are
+    validated in one pass. Returns the history ``(epoch, accuracy, f1_macro, loss)``, where loss
+    is the mean log loss of the validation rows, and the candidates.
     """
     spark = train.sparkSession
     if labels is None:
         labels = sorted(r[0] for r in train.select(label).union(validation.select(label)).distinct().collect() if r[0] is not None)
     labels = list(labels)
-    indexer = StringIndexerModel.from_labels(labels, inputCol=label, outputCol="label_id", handleInvalid="error")
-    tok, tf, idf = feature_stages(text, num_features)
-
-    def counted(rows: DataFrame, name: str) -> DataFrame:
-        return materialise(tf.transform(tok.transform(indexer.transform(rows))).select("label_id", "tf"), name)
-
-    train_tf, val_tf = counted(train, "train-counts"), counted(validation, "validation-counts")
-    idf_model = idf.fit(train_tf)
-    feats = [tok, tf, idf_model]
-    # LogisticRegression keeps its own copy of the instances only when its input is not persisted
-    train_x = idf_model.transform(train_tf).select("label_id", "features").persist()
-    val_x = idf_model.transform(val_tf).select("label_id", "features").persist()
-
-    def fit_one(ep: int):
-        lr = LogisticRegression(featuresCol="features", labelCol="label_id", maxIter=int(ep), regParam=reg_param,
-                                elasticNetParam=0.0, tol=0.0, standardization=False)
-        lr_model = lr.fit(train_x)
-        pred = lr_model.transform(val_x)
-        conf = M.confusion_counts(pred.withColumn("label_id", F.col("label_id").cast("double")),
-                                  "label_id", "prediction")
-        m = M.metrics_from_confusion(conf).first()
-        loss = pred.select(F.avg(log_loss(vector_to_array("probability"), F.col("label_id")))).first()[0]
-        row = (int(ep), float(m["accuracy"] or 0.0), float(m["f1_macro"] or 0.0), loss)
-        return row, GateModel(PipelineModel(stages=[indexer, *feats, lr_model]), labels, text, label)
-
+    place = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(label)) - 1
+    known = F.when(place >= 0, place).otherwise(F.raise_error(F.concat(F.lit("not a class of the model: "), F.coalesce(label, F.lit("null")))))
+    train_ids = EP.counted(train, text, known, num_features, "train-ids")
+    valid_ids = EP.counted(validation, text, known, num_features, "validation-ids")
+    idf = EP.inverse_frequencies(train_ids, num_features)
+    states = {e: s for e, s in enumerate(EP.train_epochs(train_ids, idf, len(labels), max(epochs), batch, rate, decay, seed), 1) if e in epochs}
+    models = {e: GateModel(s.weights, idf, labels, text, label) for e, s in states.items()}
+    counts = EP.validate(valid_ids, idf, [m.weights for m in models.values()])
+    conf = counts.select("candidate", F.col("label_id").alias(M.TRUTH), F.col("predicted_id").alias(M.PRED), F.col("n").alias(M.N), "loss").persist()
     try:
-        # Candidates are independent jobs: fit them concurrently, as pyspark.ml's tuning classes
-        # do with ``parallelism`` (the scheduler shares the executors among them).
-        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(epochs)))) as pool:
-            done = list(pool.map(inheritable_thread_target(spark)(fit_one), [int(e) for e in epochs]))
+        found = {r["candidate"]: r for r in M.metrics_from_confusion(conf.drop("loss"), ["candidate"]).collect()}
+        loss = {r["candidate"]: r["loss"] for r in conf.groupBy("candidate").agg((F.sum("loss") / F.sum(M.N)).alias("loss")).collect()}
     finally:
-        train_x.unpersist()
-        val_x.unpersist()
-    rows = [r for r, _ in done]
-    models = {r[0]: g for r, g in done}
+        conf.unpersist()
+    rows = [(e, float(found[k]["accuracy"] or 0.0) if k in found else 0.0, float(found[k]["f1_macro"] or 0.0) if k in found else 0.0, loss.get(k))
+            for k, e in enumerate(models)]
     return spark.createDataFrame(rows, HISTORY_SCHEMA), models
 
 
@@ -239,18 +229,21 @@ def save_evaluation(ev: Evaluation, path: str) -> None:
 
 
 def load_gate(spark: SparkSession, path: str) -> GateModel:
-    """Load an exported gate; ``FileNotFoundError`` when nothing is stored there. Other failures
-    (a damaged model, no permission) come through as they are."""
-    from textgate.sources.readers import read_label_map
-
-    try:
-        spark.read.text(f"{path}/pipeline/metadata").schema  # resolves the path, reads nothing
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise FileNotFoundError(f"no trained model at {path}") from e
-    pipe = PipelineModel.load(f"{path}/pipeline")
-    lm = read_label_map(spark, f"{path}/labels")
-    labels = [r["label"] for r in lm.orderBy("id").collect()]
-    meta = spark.read.json(f"{path}/meta").first()
-    return GateModel(pipe, labels, meta["text_col"], meta["label_col"])
+    """Load the published version of an exported gate; ``FileNotFoundError`` when nothing is published
+    there, ``ValueError`` when its files are not what was published. Other failures (no permission)
+    come through as they are."""
+    from textgate.sources import manifest as MF
+
+    published = MF.latest(spark, path)
+    if published is None:
+        raise FileNotFoundError(f"no trained model at {path}")
+    tables = model_tables(spark, f"{path.rstrip('/')}/{published['version']}")
+    wrong = MF.differences(published["parts"], {k: MF.digests(df).get("", "0-") for k, df in tables.items()})
+    if wrong:
+        raise ValueError(f"the model at {path} is damaged: {'; '.join(wrong)}")
+    rows = tables["weights"].orderBy("feature").toArrow()
+    weights = rows.column("weights").combine_chunks()
+    labels = [r["label"] for r in tables["labels"].orderBy("id").collect()]
+    meta = tables["meta"].first()
+    return GateModel(weights.flatten().to_numpy(zero_copy_only=False).reshape(len(weights), -1).copy(), rows.column("idf").to_numpy()[:-1].copy(), labels,
+                     meta["text_col"], meta["label_col"])

@@ -1,7 +1,8 @@
 """LM scoring: a gated recurrent language model, trained and run in numpy on the executors.
 
-The output is factored: P(word) = P(class) * P(word in class), with classes cut from the words by
-frequency, so a token costs two small softmaxes. The vocabulary grows with the corpus: its words
+The output is factored: P(word) = P(group of classes) * P(class in group) * P(word in class), with
+classes cut from the words, and groups from the classes, by frequency, so a token costs three small
+softmaxes. The vocabulary grows with the corpus: its words
 are all those above a count that grows with the root of the tokens, so the tail's share of the
 tokens falls. The tail's words are one class of their own; inside it a word has its smoothed share
 of that class's training tokens. All texts are scored whole: the recurrent state is carried from
@@ -38,7 +39,11 @@ VOCABULARY, DENSITY, LEAST = 1024, 64, 5
 #: Words whose counts go to every task, besides the model's words.
 FREQUENT = 100_000
 HIDDEN, WINDOW, STREAMS, ROUNDS, REPLICAS = 16, 32, 512, 2, 2048
+#: Tokens a model word that a replica learns from in a round, at least.
+LOAD = 96
 RATE = 0.08
+#: Tokens whose outputs are scored together.
+OUTPUTS = 1 << 16
 
 
 @dataclass
@@ -50,6 +55,8 @@ class Words:
     model_id: np.ndarray  # of each place; the last place stands for all other words
     starts: np.ndarray  # where each class's model words start; one more at the end
     class_of: np.ndarray
+    groups: np.ndarray  # where each group's classes start; one more at the end
+    group_of: np.ndarray  # of each class
     end: int
     base_total: float  # log10 of the denominators: all tokens, and tokens of the rare class
     rare_total: float
@@ -65,49 +72,61 @@ def least_count(n: int) -> float:
     return max(LEAST, math.sqrt(n) / DENSITY)
 
 
+def _cuts(share: np.ndarray, parts: int) -> np.ndarray:
+    """Where ``parts`` runs of equal sums of sqrt(share) start: short ones where shares are large, which
+    makes the sum over runs of their share times their length least."""
+    mass = np.cumsum(np.sqrt(share))
+    return np.unique(np.minimum((mass - np.sqrt(share)) / mass[-1] * parts, parts - 1).astype(int), return_index=True)[1]
+
+
 def words_of(frequent: list[tuple[bytes, int]], n: int, v: int, size: int | None = None, classes: int | None = None) -> Words:
     """From (word, count) of the frequent words, the tokens ``n`` and the distinct words ``v``.
 
     Without ``size`` the model's words are those of ``least_count`` or more; without ``classes``
-    there are 0.6 times the root of their number, where both softmaxes cost about the same.
+    there are 0.6 times the root of their number. There are as many groups as the root of
+    the classes.
     """
     ends = next((c for w, c in frequent if w == END), 0)
     ranked = sorted((x for x in frequent if x[0] != END), key=lambda x: (-x[1], x[0]))
     if size is None:
         size = max(VOCABULARY, 2 + sum(c >= least_count(n) for _, c in ranked))
-    classes = classes or round(0.6 * math.sqrt(size))
+    classes = classes or max(2, round(0.6 * math.sqrt(size)))
     own = sorted([(END, ends), *ranked[:size - 2]], key=lambda x: (-x[1], x[0]))  # END is always the model's
     ranked = own + ranked[size - 2:]
     counts = np.array([c for _, c in ranked], float)
     rare_n = n - counts[:len(own)].sum()
     share = np.concatenate([counts[:len(own)], [rare_n]]) + SMOOTHING
-    # classes of equal sums of sqrt(count): few words where words are frequent; the rare words are the last class
-    mass = np.cumsum(np.sqrt(share[:-1]))
-    cut = np.unique(np.minimum((mass - np.sqrt(share[:-1])) / mass[-1] * classes, classes - 1).astype(int), return_index=True)[1]
-    starts = np.concatenate([cut, [len(own), len(own) + 1]])
+    # the rare words are the last class
+    starts = np.concatenate([_cuts(share[:-1], classes), [len(own), len(own) + 1]])
     class_of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    groups = np.append(_cuts(np.add.reduceat(share, starts[:-1]), round(math.sqrt(classes))), len(starts) - 1)
+    group_of = np.repeat(np.arange(len(groups) - 1), np.diff(groups))
     model_id = np.concatenate([np.minimum(np.arange(len(ranked)), len(own)), [len(own)]])
     known = len(own) - (ends == 0)
-    return Words({w: i for i, (w, _) in enumerate(ranked)}, np.log10(counts + SMOOTHING), model_id, starts, class_of,
+    return Words({w: i for i, (w, _) in enumerate(ranked)}, np.log10(counts + SMOOTHING), model_id, starts, class_of, groups, group_of,
                  [w for w, _ in own].index(END), float(np.log10(n + SMOOTHING * (v + 1))),
                  float(np.log10(rare_n + SMOOTHING * (v - known + 1))), share)
 
 
 class Model:
-    """Parameters, float32: ``wx`` (input word to gates), ``u`` (state to gates), ``wc``, ``bc``
-    (state to classes), ``ww``, ``bw`` (state to words). Gates in order: update, reset, candidate."""
+    """Parameters, float32: ``wx`` (input word to gates), ``u`` (state to gates), and from the state to
+    groups ``ws``, classes ``wc`` and words ``ww`` (a row each, the bias as last column). Gates in order:
+    update, reset, candidate."""
 
-    NAMES = ("wx", "u", "wc", "bc", "ww", "bw")
+    NAMES = ("wx", "u", "ws", "wc", "ww")
 
     def __init__(self, words: Words, hidden: int = HIDDEN, seed: int = 0) -> None:
         """At the start the states say nothing and the biases give each word its share of the tokens."""
-        r, v, c = np.random.default_rng(seed), len(words.class_of), len(words.starts) - 1
+        r, v = np.random.default_rng(seed), len(words.class_of)
         by_class = np.add.reduceat(words.share, words.starts[:-1])
+        by_group = np.add.reduceat(by_class, words.groups[:-1])
         self.wx = r.normal(0, 0.3, (v, 3 * hidden)).astype(np.float32)
         self.u = r.normal(0, 0.5 / np.sqrt(hidden), (hidden, 3 * hidden)).astype(np.float32)
-        self.wc, self.ww = np.zeros((hidden, c), np.float32), np.zeros((v, hidden), np.float32)
-        self.bc = np.log(by_class / by_class.sum()).astype(np.float32)
-        self.bw = np.log(words.share / by_class[words.class_of]).astype(np.float32)
+        for name, share in (("ws", by_group / by_group.sum()), ("wc", by_class / by_group[words.group_of]),
+                            ("ww", words.share / by_class[words.class_of])):
+            rows = np.zeros((len(share), hidden + 1), np.float32)
+            rows[:, hidden] = np.log(share)
+            setattr(self, name, rows)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
@@ -150,45 +169,63 @@ def _run(m: Model, state: np.ndarray, inputs: np.ndarray, keep: np.ndarray) -> t
     return states, before, gates, cand, from_state
 
 
-def _softmax(logits: np.ndarray, pick: np.ndarray, normalise: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(log probability of the picked column of each row, probabilities). Logits count as at most
-    60 either way, so nothing overflows. Probabilities are summed by a product with ones."""
-    np.clip(logits, -60, 60, out=logits)
-    chosen = logits[np.arange(len(pick)), pick]
+def _softmax(logits: np.ndarray, row: np.ndarray, pick: np.ndarray, weight: float | None) -> np.ndarray:
+    """Log probability of the picked column of each row. With ``weight``, ``logits`` becomes the
+    gradient of minus their sum, times it. Logits count as at most 60 either way, so nothing
+    overflows. Probabilities are summed by a product with ones."""
+    if logits.size and (logits.max() > 60 or logits.min() < -60):
+        np.clip(logits, -60, 60, out=logits)
+    chosen = logits[row, pick]
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], np.float32)
-    if normalise:
-        logits /= total[:, None]
-    return chosen - np.log(total), logits
+    if weight is not None:
+        logits *= (weight / total)[:, None]
+        logits[row, pick] -= weight
+    return chosen - np.log(total)
 
 
 def _outputs(m: Model, words: Words, h: np.ndarray, target: np.ndarray, grad: dict | None) -> tuple[np.ndarray, np.ndarray | None]:
-    """Natural log probability of each target; with ``grad``, fills it (per token mean) and returns dh."""
-    classes = words.class_of[target]
-    learn, dh = grad is not None, None
-    logs, d = _softmax(h @ m.wc + m.bc, classes, learn)
-    out = logs.astype(float)
-    if learn:
-        d[np.arange(len(target)), classes] -= 1
-        d /= len(target)
-        dh = d @ m.wc.T
-        grad["wc"], grad["bc"], grad["ww"], grad["bw"] = h.T @ d, d.sum(0), np.zeros_like(m.ww), np.zeros_like(m.bw)
-    order = np.argsort(classes.astype(np.int16), kind="stable")
-    ends = np.cumsum(np.bincount(classes, minlength=len(words.starts) - 1))
-    for c in range(len(words.starts) - 1):
-        a, b = words.starts[c], words.starts[c + 1]
-        mine = order[(ends[c - 1] if c else 0):ends[c]]
-        if b - a < 2 or not len(mine):
-            continue
-        part, pick = h[mine], target[mine] - a
-        logs, d = _softmax(part @ m.ww[a:b].T + m.bw[a:b], pick, learn)
-        out[mine] += logs
-        if learn:
-            d[np.arange(len(mine)), pick] -= 1
-            d /= len(target)
-            dh[mine] += d @ m.ww[a:b]
-            grad["ww"][a:b], grad["bw"][a:b] = d.T @ part, d.sum(0)
-    return out, dh
+    """Natural log probability of each target; with ``grad``, returns dh and fills it with (rows,
+    gradient per token mean) of ``ws``, ``wc`` and ``ww``, for the rows that the targets' softmaxes hold.
+
+    Tokens are sorted by word class once, so that at each level the tokens, outputs and gradients of a
+    softmax are slices.
+    """
+    n, k = h.shape
+    weight = None if grad is None else np.float32(1 / max(n, 1))
+    order = np.argsort(words.class_of[target].astype(np.int32), kind="stable")
+    target = target[order]
+    classes, row = words.class_of[target], np.arange(n)
+    groups = words.group_of[classes]
+    part = np.ones((n, k + 1), np.float32)
+    part[:, :k] = h[order]
+    logs, dh = np.zeros(n), None if grad is None else np.zeros((n, k), np.float32)
+    for name, starts, of, pick in (("ws", np.array([0, len(m.ws)]), np.zeros(n, int), groups), ("wc", words.groups, groups, classes),
+                                   ("ww", words.starts, classes, target)):
+        weights = getattr(m, name)
+        into, touched = None if grad is None else np.empty_like(weights), []
+        ends = np.searchsorted(of, np.arange(len(starts)))
+        for c in np.flatnonzero((np.diff(ends) > 0) & (np.diff(starts) > 1)).tolist():
+            a, b, s, e = starts[c], starts[c + 1], ends[c], ends[c + 1]
+            own, here = part[s:e], weights[a:b]
+            d = own @ here.T
+            logs[s:e] += _softmax(d, row[:e - s], pick[s:e] - a, weight)
+            if grad is not None:
+                dh[s:e] += d @ here[:, :k]
+                np.matmul(d.T, own, out=into[a:b])
+                touched.append((a, b))
+        if grad is not None:
+            runs = all(x[1] == y[0] for x, y in zip(touched, touched[1:]))
+            rows = slice(touched[0][0], touched[-1][1]) if runs and touched else np.concatenate(
+                [np.zeros(0, int), *[np.arange(a, b) for a, b in touched]])
+            grad[name] = (rows, into[rows])
+    out = np.empty(n)
+    out[order] = logs
+    if grad is None:
+        return out, None
+    back = np.empty((n, k), np.float32)
+    back[order] = dh
+    return out, back
 
 
 def _streams(texts: list[np.ndarray], end: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,13 +261,22 @@ def log_likelihoods(m: Model, words: Words, texts: list[np.ndarray]) -> np.ndarr
     """Natural log probability of each whole text, given as model ids with END."""
     token, text = _streams(texts, words.end, STREAMS)
     out, state = np.zeros(len(texts)), np.zeros((token.shape[1], m.u.shape[0]), np.float32)
+    held, n = [], 0
     for inputs, keep, target, whose in _windows(token, text, words.end, 2 * WINDOW):
         states = _run(m, state, inputs, keep)[0]
         state = states[-1]
         real = target >= 0
-        got, _ = _outputs(m, words, states[1:][real], target[real], None)
-        out += np.bincount(whose[real], got, len(texts))
-    return out
+        held.append((states[1:][real], target[real], whose[real]))
+        n += len(held[-1][1])
+        if n >= OUTPUTS:
+            out += _held_outputs(m, words, held, len(texts))
+            held, n = [], 0
+    return out + _held_outputs(m, words, held, len(texts)) if held else out
+
+
+def _held_outputs(m: Model, words: Words, held: list[tuple], texts: int) -> np.ndarray:
+    h, target, whose = (np.concatenate(x) for x in zip(*held))
+    return np.bincount(whose, _outputs(m, words, h, target, None)[0], texts)
 
 
 class Trainer:
@@ -242,8 +288,18 @@ class Trainer:
 
     def _step(self, name: str, rows, grad: np.ndarray) -> None:
         squares, p = self.squares[name], getattr(self.m, name)
-        squares[rows] += grad * grad
-        p[rows] -= self.rate * grad / np.sqrt(squares[rows])
+        if not isinstance(rows, slice):
+            squares[rows] = seen = squares[rows] + grad * grad
+            p[rows] -= self.rate * grad / np.sqrt(seen)
+            return
+        squares, p = squares[rows], p[rows]
+        for at in range(0, len(grad), 2048):  # in parts that stay in the cache
+            g, seen = grad[at:at + 2048], squares[at:at + 2048]
+            seen += g * g
+            step = np.sqrt(seen)
+            np.divide(g, step, out=step)
+            step *= self.rate
+            p[at:at + 2048] -= step
 
     def learn(self, texts: list[np.ndarray]) -> None:
         m, k = self.m, self.m.u.shape[0]
@@ -273,14 +329,14 @@ class Trainer:
                 np.multiply(dn, to_reset[t], out=d_state[t, :, k:2 * k])
                 np.multiply(dn, r[t], out=d_state[t, :, 2 * k:])
                 later = (d * z[t] + d_state[t] @ back) * keep[t, :, None]
-            grad["u"] = before.reshape(-1, k).T @ d_state.reshape(-1, 3 * k)
+            grad["u"] = (slice(None), before.reshape(-1, k).T @ d_state.reshape(-1, 3 * k))
             order = np.argsort(inputs.ravel(), kind="stable")
             token_at = inputs.ravel()[order]
             first = np.flatnonzero(np.concatenate([[True], token_at[1:] != token_at[:-1]]))
             d_input = np.concatenate([d_state[:, :, :2 * k], d_candidate], axis=2).reshape(-1, 3 * k)[order]
             self._step("wx", token_at[first], np.add.reduceat(d_input, first))
-            for name in ("u", "wc", "bc", "ww", "bw"):
-                self._step(name, ..., grad[name])
+            for name in ("u", "ws", "wc", "ww"):
+                self._step(name, *grad[name])
             self.seen += int(real.sum())
 
 
@@ -337,6 +393,8 @@ def _lookup(words: Words, texts: list[bytes]) -> Iterator[tuple[list[bytes], np.
 
 
 def _train_replica(words: Words, values: np.ndarray, chunk: int):
+    """What a replica changed, in parts of ``chunk`` values (halves, null-free; unchanged parts are not
+    sent), and a part -1 with the tokens that it learned from."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(Model(words).set_flat(values), words)
         own = {w: i for w, i in words.place.items() if i < words.rare}
@@ -345,39 +403,52 @@ def _train_replica(words: Words, values: np.ndarray, chunk: int):
             if ids:
                 trainer.learn(ids)
         if trainer.seen:
-            flat = trainer.m.flat()
-            parts = [flat[i:i + chunk].tobytes() for i in range(0, len(flat), chunk)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([trainer.seen] * len(parts), pa.int64()),
-                                              pa.array(parts, pa.binary())], ["part", "seen", "data"])
+            change = (trainer.m.flat() - values).astype(np.float16)
+            parts = {i // chunk: change[i:i + chunk] for i in range(0, len(change), chunk)}
+            sent = [(-1, b""), *((k, part.tobytes()) for k, part in parts.items() if part.any())]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in sent], pa.int32()), pa.array([trainer.seen] * len(sent), pa.int64()),
+                                              pa.array([data for _, data in sent], pa.binary())], ["part", "seen", "data"])
     return run
 
 
-def _average(table: pa.Table) -> pa.Table:
+def _changes(table: pa.Table) -> pa.Table:
+    """The sum over replicas of a part's changes, weighted by the tokens that each learned from."""
     total, seen = 0.0, 0
     rows = sorted(zip(table.column("seen").to_pylist(), table.column("data").to_pylist()))  # the same sum in every run
     for n, data in rows:
-        total = total + n * np.frombuffer(data, np.float32).astype(float)
+        total = total + n * np.frombuffer(data, np.float16).astype(float)
         seen += n
-    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()),
-                     "data": pa.array([(total / seen).astype(np.float32).tobytes()], pa.binary())})
+    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "seen": pa.array([seen], pa.int64()),
+                     "data": pa.array([np.asarray(total).tobytes()], pa.binary())})
+
+
+def replicas_for(n: int, words: Words) -> int:
+    """Tasks that train side by side on ``n`` tokens: each learns from ``LOAD`` tokens a model word or more,
+    so that the replicas' changes (130 bytes a word) stay well under the texts they read."""
+    return max(1, min(REPLICAS, n // (LOAD * len(words.class_of))))
 
 
 def train(docs: DataFrame, words: Words, text_col: str = "text", rounds: int = ROUNDS, replicas: int = REPLICAS) -> Model:
     """Train on every row of ``docs``, each in one of ``rounds`` (by the hash of its text).
 
-    At most ``replicas`` tasks train at a time; a replica is 260 bytes a model word, averaged in
-    parts, so the averaging of a part reads ``replicas`` times 32 kB at most. The result is the
-    only thing that reaches the driver.
+    At most ``replicas`` tasks train at a time. After a round the model moves by the mean of what the
+    replicas changed, weighted by tokens; a part's changes are added up in one task, ``replicas``
+    times 16 kB at most. The result is the only thing that reaches the driver.
     """
     model = Model(words)
     text = F.col(text_col).alias("text")
     turn = F.pmod(F.xxhash64(text_col), F.lit(rounds))
+    chunk = 8192
     for k in range(rounds):
-        rows = docs.filter(turn == k).select(text).coalesce(replicas)
-        parts = rows.mapInArrow(_train_replica(words, model.flat(), 8192), "part int, seen bigint, data binary") \
-            .groupBy("part").applyInArrow(_average, "part int, data binary").toArrow().sort_by("part")
-        if parts.num_rows:
-            model.set_flat(np.frombuffer(b"".join(parts.column("data").to_pylist()), np.float32))
+        rows, values = docs.filter(turn == k).select(text).coalesce(replicas), model.flat()
+        parts = rows.mapInArrow(_train_replica(words, values, chunk), "part int, seen bigint, data binary") \
+            .groupBy("part").applyInArrow(_changes, "part int, seen bigint, data binary").toArrow().to_pylist()
+        seen = sum(p["seen"] for p in parts if p["part"] < 0)
+        for p in parts:
+            if p["part"] >= 0:
+                change = np.frombuffer(p["data"]) / seen
+                values[p["part"] * chunk:][:len(change)] += change.astype(np.float32)
+        model.set_flat(values)
     return model
 
 
@@ -429,7 +500,7 @@ def lm_scores(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_
     counts = materialise(word_counts(learn, text_col), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     words = words_of(frequent_words(counts, down_to=least_count(n)), n, v)
-    model = train(learn, words, text_col)
+    model = train(learn, words, text_col, replicas=replicas_for(n // ROUNDS, words))
     id_type = docs.schema[id_col].dataType.simpleString()
     scored = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _score(words, model.flat()), f"id {id_type}, n_tokens bigint, n_known bigint, base_score double, score double, "

@@ -7,7 +7,9 @@ each and bring at most a few rows, or the sorted bad-label list, to the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,7 +191,30 @@ def drop_blank_asks(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn(text, strip(text)).filter(~is_blank(text))
 
 
+def is_control_word(text: str = "text", words: Sequence[str] = CONTROL_WORDS):
+    """Whether the stripped, lower-cased text is a control word (``salir``/``exit``/``quit``); false for null."""
+    return F.coalesce(F.lower(strip(text)).isin([x.lower() for x in words]), F.lit(False))
+
+
 def drop_control_words(df: DataFrame, text: str = "text", words: Sequence[str] = CONTROL_WORDS) -> DataFrame:
-    """Drop rows whose stripped, lower-cased text is a control word (``salir``/``exit``/``quit``)."""
-    w = [x.lower() for x in words]
-    return df.filter(~F.coalesce(F.lower(strip(text)).isin(w), F.lit(False)))
+    """Drop rows whose text is a control word. Later turns of the session stay: ``end_sessions`` ends it."""
+    return df.filter(~is_control_word(text, words))
+
+
+def end_sessions(df: DataFrame, conv: str | Sequence[str] = "conv_id", turn: str = "turn", text: str = "text",
+                 words: Sequence[str] = CONTROL_WORDS) -> DataFrame:
+    """The questions of each conversation before its first control word, stripped, without blank ones.
+
+    Rows at the control word's turn and later ones are dropped. Rows without a conversation or a turn
+    belong to no session: they are kept unless blank or a control word. The first control turn per
+    conversation, an aggregate with one row for each that has one, is joined to the questions, so no
+    conversation is brought together in one task.
+    """
+    keys = [conv] if isinstance(conv, str) else list(conv)
+    own, end = [f"_c{i}_{uuid.uuid4().hex[:8]}" for i in range(len(keys))], f"_end_{uuid.uuid4().hex[:8]}"
+    ends = df.filter(is_control_word(text, words) & F.col(turn).isNotNull()) \
+        .groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own)]).agg(F.min(turn).alias(end))
+    asks = drop_control_words(drop_blank_asks(df, text), text, words)
+    same = reduce(lambda a, b: a & b, [asks[k] == ends[o] for k, o in zip(keys, own)])
+    before = F.col(end).isNull() | F.col(turn).isNull() | (F.col(turn) < F.col(end))
+    return asks.join(ends, same, "left").filter(before).select(*[asks[f"`{c}`"] for c in df.columns])

@@ -130,6 +130,11 @@ oracle("drop_control_words", with_(EDGY) + f"""
 SELECT conv_id, turn, {STRIP('text')} AS text FROM edgy
 WHERE coalesce({STRIP('text')}, '') <> '' AND lower({STRIP('text')}) NOT IN ('salir', 'exit', 'quit')""")
 
+oracle("end_sessions", with_(EDGY, f"""ends AS (
+  SELECT conv_id, min(turn) AS last FROM edgy WHERE lower({STRIP('text')}) IN ('salir', 'exit', 'quit') GROUP BY conv_id)""") + f"""
+SELECT e.conv_id, e.turn, {STRIP('e.text')} AS text FROM edgy e LEFT JOIN ends USING (conv_id)
+WHERE coalesce({STRIP('e.text')}, '') <> '' AND (last IS NULL OR turn < last)""")
+
 # ---------------------------------------------------------------- 2.5 joins
 
 oracle("encode_labels", with_(GAPPY) + """
@@ -362,6 +367,7 @@ oracle("save_model", ORACLE["build_label_map"])
 # ---------------------------------------------------------------- 2.12 streaming
 
 oracle("stream_clean", ORACLE["drop_control_words"])
+oracle("stream_sessions", ORACLE["end_sessions"])
 oracle("stream_score", "SELECT conv_id, turn, true AS same_as_batch FROM (" + ORACLE["drop_control_words"] + ")")
 
 # ---------------------------------------------------------------- models: what SQL can compute of them

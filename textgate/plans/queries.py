@@ -149,6 +149,11 @@ def q_drop_control_words(spark, sf):
     return C.drop_control_words(C.drop_blank_asks(edgy_asks(spark, sf)))
 
 
+@query
+def q_end_sessions(spark, sf):
+    return C.end_sessions(edgy_asks(spark, sf))
+
+
 # ---------------------------------------------------------------- 2.5 joins
 
 @query
@@ -578,7 +583,7 @@ def q_train_candidates(spark, sf):
     for epoch, model in models.items():
         rows = rows.withColumn(f"p{epoch}", model.probabilities("text"))
     each = F.explode(F.map_from_arrays(F.array(*[F.lit(e) for e in models]), F.array(*[f"p{e}" for e in models]))).alias("epoch", "p")
-    label_id = F.array_position(F.array(*[F.lit(x) for x in models[1].labels]), "label") - 1
+    label_id = F.array_position(F.array(*[F.lit(x) for x in models[1].labels]), F.col("label")) - 1
     direct = materialise(rows.select(label_id.alias("label_id"), each).withColumns(
         {"predicted_id": L.argmax_class("p").cast("long"), "loss": log_loss(F.col("p"), F.col("label_id"))}), "candidates")
     recall = [F.count_if((F.col("label_id") == k) & (F.col("predicted_id") == k)) for k in (0, 1)]
@@ -702,6 +707,20 @@ def q_stream_clean(spark, sf):
     return spark.read.parquet(sink)
 
 
+@query
+def q_stream_sessions(spark, sf):
+    """All turns, dealt to files by a hash, so that they arrive in no order and over several triggers."""
+    from textgate.streaming.sessions import stream_sessions
+
+    k = (F.col("conv_id") + F.col("turn")) % 7
+    edgy = F.when(k == 0, F.lit("   ")).when(k == 1, F.lit(" Salir ")).when(k == 2, F.lit("EXIT")).otherwise(F.col("text"))
+    rows = fx.table(spark, sf, "conversations").select("conv_id", "turn", "role", edgy.alias("text"))
+    source, sink, ckpt = (_scratch(spark, f"sessions-{x}") for x in ("in", "out", "ckpt"))
+    rows.repartition(6, F.xxhash64("conv_id", "turn")).write.parquet(source)
+    stream_sessions(spark, source, rows.schema, sink, ckpt, max_files_per_trigger=2).awaitTermination()
+    return spark.read.parquet(sink)
+
+
 @query
 def q_stream_score(spark, sf):
     from textgate.streaming.questions import stream_score

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textgate.operators import clean as C
+from textgate.sources import manifest as MF
 from textgate.sources.csv_ranges import read_csv
+from textgate.sources.writers import split_table
 
 # Fixed values that must equal the reference's: the raw-file delimiter, the split names.
 RAW_SEP = ";"
@@ -82,18 +84,29 @@ def load_dataset(spark: SparkSession, path: str, sep: str | None = RAW_SEP, key:
 
 
 def read_splits(spark: SparkSession, path: str, names: Sequence[str] = SPLIT_NAMES, fmt: str = "parquet",
-                split_col: str = "split") -> DataFrame | None:
+                split_col: str = "split", verify: bool = True) -> DataFrame | None:
     """The stored splits as one DataFrame with ``split`` discovered from the folder names, or ``None``
-    unless every named split folder exists (each is resolved by the reader; no job scans data)."""
+    unless every named split is stored whole.
+
+    ``write_splits`` publishes rows and digest of each split last: without that the splits are half
+    written (``None``); a split that has lost, gained or changed rows since raises ``ValueError``, naming
+    it. That is one scan. ``verify=False`` takes folders that others wrote, if all of them exist.
+    """
     from pyspark.errors import AnalysisException
 
-    reader = spark.read.options(**CSV_OPTIONS, sep=",") if fmt == "csv" else spark.read
+    published = MF.latest(spark, path) if verify else None
+    if verify and (published is None or not set(names) <= set(published["parts"])):
+        return None
     try:
-        for n in names:
-            reader.format(fmt).load(f"{path.rstrip('/')}/{split_col}={n}")
-        df = reader.format(fmt).load(path)
+        for n in names if not verify else ():
+            split_table(spark, f"{path.rstrip('/')}/{split_col}={n}", fmt)
+        df = split_table(spark, path, fmt)
     except AnalysisException:
         return None
+    if verify:
+        wrong = MF.differences(published["parts"], MF.digests(df, split_col), names)
+        if wrong:
+            raise ValueError(f"the splits at {path} are not what was stored: {'; '.join(wrong)}")
     # split tables written by ``train_gate`` carry its two load-check flags (all false)
     return df.drop(*[c for c in C.quality_flags() if c in df.columns])
 
@@ -117,7 +130,7 @@ def read_split_files(spark: SparkSession, folder: str, names: Sequence[str] = SP
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
-    """``(label, id)`` rows from a ``{"label2id": {...}, "id2label": {...}}`` JSON document."""
+    """``(label, id)`` rows from ``{"label2id": {...}, "id2label": {...}}`` JSON documents."""
     raw = (spark.read.schema("label2id map<string,int>, id2label map<string,string>")
            .option("multiLine", True).json(path))
     return raw.select(F.explode("label2id").alias("label", "id")).select("label", F.col("id").cast("int"))

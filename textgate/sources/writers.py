@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +34,26 @@ def write_small(df: DataFrame, path: str, order: Sequence[str] = ("row_order",),
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str = "parquet") -> None:
-    """All splits in one write, one folder per split value (partition pruning on read)."""
+    """All splits in one write, one folder per split value (partition pruning on read); then, as the last
+    write, a manifest of each split's rows and digest, as they are read back."""
+    from textgate.sources import manifest as MF
+
+    spark = df.sparkSession
     w = df.write.mode("overwrite").partitionBy(split_col)
     if fmt == "csv":
         w.options(**WRITE_CSV).csv(path)
     else:
         w.format(fmt).save(path)
+    try:
+        stored = split_table(spark, path, fmt)
+    except AnalysisException:  # no row, so no folder
+        stored = None
+    MF.publish(spark, path, fmt, MF.digests(stored, split_col) if stored is not None else {})
+
+
+def split_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    options = {**WRITE_CSV, "inferSchema": "false", "multiLine": "true", "sep": ","} if fmt == "csv" else {}
+    return spark.read.options(**options).format(fmt).load(path)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
@@ -52,14 +67,20 @@ def label_map_frame(spark: SparkSession, label_map: DataFrame | Sequence[str]) -
     return spark.createDataFrame([(str(x), i) for i, x in enumerate(label_map)], "label string, id int")
 
 
-def write_label_map(spark: SparkSession, label_map: DataFrame | Sequence[str], path: str) -> None:
-    """``{"label2id": {label: id}, "id2label": {"id": label}}`` (ids as string keys in the second)."""
+def write_label_map(spark: SparkSession, label_map: DataFrame | Sequence[str], path: str, rows: int = 10_000) -> None:
+    """``{"label2id": {label: id}, "id2label": {"id": label}}`` (ids as string keys in the second).
+
+    A map of more than ``rows`` labels becomes several such documents, each with a run of ids and in a
+    file of its own, so no task holds more than that; readers put them together.
+    """
     m = label_map_frame(spark, label_map)
-    doc = m.agg(
+    doc = m.groupBy(F.floor(F.col("id") / rows).alias("_run")).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "id")))).alias("label2id"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("id").cast("string"), "label"))))
         .alias("id2label"))
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    one = m.agg(F.max("id")).first()[0]
+    doc = doc.drop("_run")
+    (doc.coalesce(1) if one is None or one < rows else doc).write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)
 
 
 def write_history(history: DataFrame, path: str) -> bool:

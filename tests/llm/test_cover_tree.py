@@ -13,7 +13,7 @@ def sample(n, seed=0, width=16):
 
 
 def brute(rows, threshold=0.9):
-    valid = [v is not None and len(v) and all(c is not None and np.isfinite(c) for c in v) and any(v) and i is not None for i, v in rows]
+    valid = [v is not None and len(v) and all(c is not None and np.isfinite(c) for c in v) and any(v) for _, v in rows]
     scaled = [np.array(v, float) / np.abs(v).max() if ok else None for (_, v), ok in zip(rows, valid)]
     unit = [v / np.linalg.norm(v) if v is not None else None for v in scaled]
     n, links, parent = len(rows), [0] * len(rows), list(range(len(rows)))
@@ -25,7 +25,7 @@ def brute(rows, threshold=0.9):
 
     for i in range(n):
         for j in range(i):
-            if valid[i] and valid[j] and (rows[i][1] == rows[j][1] or unit[i] @ unit[j] >= threshold):
+            if valid[i] and valid[j] and len(unit[i]) == len(unit[j]) and (rows[i][1] == rows[j][1] or unit[i] @ unit[j] >= threshold):
                 links[i] += 1
                 links[j] += 1
                 parent[max(root(i), root(j))] = min(root(i), root(j))
@@ -75,5 +75,12 @@ def test_dense_cluster_and_empty(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     assert {(r.n_links, r.component_id) for r in cosine_links(df, block=60).collect()} == {(499, 0)}
     assert cosine_links(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        cosine_links(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_vectors_of_several_lengths_and_null_ids(spark):
+    rows = [(i, [1.0, i / 1000]) for i in range(30)] + [(100 + i, [1.0, 0.0, i / 1000]) for i in range(20)] + [(5, [1.0]), (7, [-1.0]), (None, [-3.0])]
+    rows += [(None, [1.0, 0.001]), (None, [0.0, 0.0, 5.0]), (None, [0.0, 0.0, 5.001])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = cosine_links(df, block=8, cells=3).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=repr) == brute(rows)
+    assert sum(r.kept for r in got) == 1 + 1 + 1 + 1 + 2

@@ -321,16 +321,34 @@ def _join_pair(threshold: float):
     return run
 
 
+def _links(reps: DataFrame, n: int, threshold: float, block: int, cells: int) -> DataFrame:
+    """(key, links, star) in parts: weights of the vectors that each of ``n`` distinct vectors of one
+    length links with, and an edge to one of them."""
+    sample = reps.orderBy(F.xxhash64("unit"), "key").limit(min(cells, -(-n // block))).toArrow()
+    centres = _matrix(sample.column("unit").combine_chunks())
+    placed = materialise(reps.select("key", "weight", "unit").mapInArrow(
+        _nearest(centres), "key bigint, weight bigint, unit binary, cell bigint, distance double"), "cells")
+    stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()}
+    radius = np.array([stats[c]["radius"] if c in stats else -10.0 for c in range(len(centres))])
+    blocks = np.array([-(-stats[c]["n"] // block) if c in stats else 0 for c in range(len(centres))], np.int64)
+    parts = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), (F.col("cell") + 1).cast("int"))
+    pairs = placed.withColumn("sub", F.pmod(F.xxhash64("key"), parts).cast("long")) \
+        .mapInArrow(_to_pairs(centres, radius, blocks, float(np.sqrt(2 - 2 * threshold))),
+                    "pair bigint, block bigint, key bigint, weight bigint, unit binary")
+    return pairs.groupBy("pair").applyInArrow(_join_pair(threshold), "key bigint, links bigint, star bigint")
+
+
 def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9,
                  block: int = BLOCK, cells: int = CELLS) -> DataFrame:
     """One row per row of ``vectors``: ``id_col``, n_links (other vectors at cosine ``threshold`` or
     more, in double precision), component_id (smallest id reachable, its own included), kept.
 
     Equal vectors are collapsed before anything is compared and count as each other's links.
-    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing,
-    nor do vectors of another length than most (which raises if both kinds are valid). Null ids
-    keep n_links 0, a null component_id and kept true. An id that is repeated counts each of its
-    rows. Other columns are not read; an empty table gives an empty one.
+    Vectors that are null, empty, zero, or hold null or non-finite components link with nothing;
+    vectors link with those of their own length only. A null id is larger than any other: its vector
+    is compared like any other, and component_id is null where a component has null ids only. An id
+    that is repeated counts each of its rows. Other columns are not read; an empty table gives an
+    empty one.
 
     The sample that gives the cells' centres has ``cells`` vectors at most; every vector is put
     into a cell and none is left out. Pairs are not written: a task adds up its vectors' links and
@@ -340,28 +358,12 @@ def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         raise ValueError("the threshold must lie in (0, 1]")
     source = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
     units = materialise(source.mapInArrow(_unit, f"id {vectors.schema[id_col].dataType.simpleString()}, unit binary"), "units")
-    valid = units.filter("unit IS NOT NULL AND id IS NOT NULL")
-    lengths = [r[0] for r in valid.select(F.octet_length("unit")).distinct().limit(2).collect()]
-    if len(lengths) > 1:
-        raise ValueError("the vectors differ in length")
+    valid = units.filter("unit IS NOT NULL")
     reps = materialise(valid.groupBy("unit").agg(F.min("id").alias("rep"), F.count("*").alias("weight"))
                        .withColumn("key", F.monotonically_increasing_id()), "vectors")
-    n = reps.count()
-    if n:
-        sample = reps.orderBy(F.xxhash64("unit"), "key").limit(min(cells, -(-n // block))).toArrow()
-        centres = _matrix(sample.column("unit").combine_chunks())
-        placed = materialise(reps.select("key", "weight", "unit").mapInArrow(
-            _nearest(centres), "key bigint, weight bigint, unit binary, cell bigint, distance double"), "cells")
-        stats = {r["cell"]: r for r in placed.groupBy("cell").agg(F.max("distance").alias("radius"), F.count("*").alias("n")).collect()}
-        radius = np.array([stats[c]["radius"] if c in stats else -10.0 for c in range(len(centres))])
-        blocks = np.array([-(-stats[c]["n"] // block) if c in stats else 0 for c in range(len(centres))], np.int64)
-        parts = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), (F.col("cell") + 1).cast("int"))
-        pairs = placed.withColumn("sub", F.pmod(F.xxhash64("key"), parts).cast("long")) \
-            .mapInArrow(_to_pairs(centres, radius, blocks, float(np.sqrt(2 - 2 * threshold))),
-                        "pair bigint, block bigint, key bigint, weight bigint, unit binary")
-        linked = pairs.groupBy("pair").applyInArrow(_join_pair(threshold), "key bigint, links bigint, star bigint")
-    else:
-        linked = reps.select("key", F.col("weight").alias("links"), F.col("key").alias("star"))
+    linked = reps.select("key", F.col("weight").alias("links"), F.col("key").alias("star")).limit(0)
+    for length, n in sorted((r["length"], r["count"]) for r in reps.groupBy(F.octet_length("unit").alias("length")).count().collect()):
+        linked = linked.unionByName(_links(reps.filter(F.octet_length("unit") == length), n, threshold, block, cells))
     linked = materialise(linked, "links")
     total = linked.groupBy("key").agg(F.sum("links").alias("links"))
     named = components(linked, "key", "star").withColumnsRenamed({"node": "key", "component": "root"}).join(reps.select("key", "rep"), "key")
@@ -370,8 +372,8 @@ def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         F.col("unit").alias("_unit"), (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("found", "rep").alias("component"))
     known = materialise(known, "known")
-    component = F.when(F.col("component").isNotNull() & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id"))
-    return units.join(known, (units["unit"] == known["_unit"]) & units["id"].isNotNull(), "left").select(
+    component = F.coalesce("component", "id")
+    return units.join(known, units["unit"] == known["_unit"], "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"))
 

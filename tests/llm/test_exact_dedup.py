@@ -66,3 +66,12 @@ def test_empty_and_bucket_count(spark):
 def test_other_id_types(spark, kind):
     df = spark.createDataFrame([("3", "a"), ("2", "a")], "id string, body string").withColumn("id", F.col("id").cast(kind))
     assert {str(r.keep_id) for r in exact_dedup(df, "id", "body").collect()} == {"2"}
+
+
+def test_keep_first_keeps_every_column(spark):
+    from textgate.llm.exact_dedup import keep_first
+
+    df = spark.createDataFrame([(1, "a", 7, "x", "k"), (1, "a", 7, "x", "k"), (2, "b", 8, "y", "l"), (3, "a", 9, "z", "m")],
+                               "doc_id long, text string, _d int, _digest string, _keep_id string")
+    got = keep_first(df)
+    assert got.columns == df.columns and sorted(tuple(r) for r in got.collect()) == [(1, "a", 7, "x", "k"), (2, "b", 8, "y", "l")]

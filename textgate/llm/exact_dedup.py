@@ -94,7 +94,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     out = docs.join(kept, same, "left_semi")
     # a repeated id can bring one text in twice; whole rows are compared only where that occurs
     if docs.groupBy(id_col).count().filter("count > 1").limit(1).count():
-        out = out.withColumn("_d", F.sha2(normalised(text_col), 256)).dropDuplicates([id_col, "_d"]).drop("_d")
+        own = f"_digest_{uuid.uuid4().hex[:8]}"
+        out = out.withColumn(own, F.sha2(normalised(text_col), 256)).dropDuplicates([id_col, own]).drop(own)
     return out
 
 

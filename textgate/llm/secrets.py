@@ -49,8 +49,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.col("text").rlike(CANDIDATE)) \
         .withColumn("parts", F.split(F.regexp_replace("text", F.lit(CANDIDATE), F.lit(f"{OPEN}$0{CLOSE}")), OPEN))
     # a part's start in the text: the lengths of those before it, without the mark each but the first holds
-    starts = F.aggregate("parts", F.array(F.lit(0)), lambda acc, p: F.concat(
-        acc, F.array(F.element_at(acc, -1) + F.length(F.replace(p, F.lit(CLOSE), F.lit(""))))))
+    marked = _with_sums_before(marked.withColumn("lengths", F.transform("parts", lambda p: F.length(F.replace(p, F.lit(CLOSE), F.lit(""))))))
+    starts = F.col("starts")
     zipped = F.arrays_zip(F.expr("slice(parts, 1, size(parts) - 1)").alias("before"), F.expr("slice(parts, 2, size(parts) - 1)").alias("part"),
                           F.slice(starts, F.lit(2), F.size("parts") - 1).alias("start"))
     return marked.select("id", "path", F.posexplode(zipped).alias("number", "x")).select(
@@ -59,6 +59,23 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.left(F.substring_index("x.part", CLOSE, -1), F.lit(CONTEXT)).alias("after"))
 
 
+def _with_sums_before(df: DataFrame) -> DataFrame:
+    """``df`` with starts: for each entry of the array ``lengths`` the sum of those before it.
+
+    Appending to an array copies it, so the sums are taken in runs of about the root of its size, first
+    of the runs' totals and then within each run: n * sqrt(n) copies instead of n * n. The arrays are
+    columns of their own, as an expression inside a lambda is computed for each call.
+    """
+    def running(values: Column, start: Column) -> Column:
+        return F.aggregate(values, F.array(start), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+    df = df.withColumn("step", F.ceil(F.sqrt(F.size("lengths"))).cast("int"))
+    df = df.withColumn("runs", F.transform(F.sequence(F.lit(1), F.size("lengths"), F.col("step")), lambda k: F.slice("lengths", k, F.col("step"))))
+    df = df.withColumn("totals", F.transform("runs", lambda run: F.aggregate(run, F.lit(0), lambda a, x: a + x)))
+    df = df.withColumn("offsets", F.slice(running(F.col("totals"), F.lit(0)), F.lit(1), F.size("totals")))
+    return df.withColumn("starts", F.flatten(F.zip_with("runs", "offsets", lambda run, start: F.slice(running(run, start), F.lit(1), F.size(run)))))
+
+
 def dictionary(docs: DataFrame, text_col: str = "text", most: int = DICTIONARY) -> list[str]:
     """The corpus's most frequent words of 3 to 12 small ASCII letters, over all documents."""
     words = docs.select(F.explode(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(r"\b([a-z]{3,12})\b"), 1)).alias("w"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -9,9 +10,10 @@ from pyspark.sql import functions as F
 
 from textgate.functions.text import attention_mask, pad_tokens as pad_expr, tokens
 from textgate.operators.labels import encode_labels
+from textgate.ranking import with_position
 
-# Fixed value that must equal the reference's: the token limit.
-MAX_LENGTH = 128
+# Fixed values that must equal the reference's: the token limit, rows of a batch.
+MAX_LENGTH, BATCH_SIZE = 128, 8
 PAD = "<pad>"
 
 
@@ -35,6 +37,21 @@ def pad_tokens(df: DataFrame, col: str = "input_tokens", max_length: int = MAX_L
     return df.withColumns({out: pad_expr(col, max_length, pad), mask: attention_mask(col, max_length)})
 
 
+def assign_batches(df: DataFrame, size: int = BATCH_SIZE, seed: int = 42, key: str | Sequence[str] | None = None,
+                   out: str = "batch") -> DataFrame:
+    """``df`` plus ``out``: batches 0, 1, ... of ``size`` rows (the last may have fewer), in a seeded order.
+
+    Rows are ordered by the MD5 of the seed and ``key`` (by default of all columns) and numbered by a
+    range partitioning of that order, so no task holds more than its range and reruns agree, however
+    the table is split. Rows equal in all of it are interchangeable.
+    """
+    by = [key] if isinstance(key, str) else list(key or df.columns)
+    place, order = (f"_{n}_{uuid.uuid4().hex[:8]}" for n in ("place", "order"))
+    text = F.col(f"`{by[0]}`").cast("string") if len(by) == 1 and key else F.to_json(F.struct(*[F.col(f"`{c}`") for c in by]), {"ignoreNullFields": "false"})
+    hashed = df.withColumn(order, F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(text, F.lit(""))).cast("binary")))
+    return with_position(hashed, [order], place).withColumn(out, F.floor(F.col(place) / size)).drop(order, place)
+
+
 def pad_to_group_max(df: DataFrame, batch: str, col: str = "input_tokens", out: str = "input_ids",
                      mask: str = "attention_mask", pad: str = PAD) -> DataFrame:
     """Pad each row to the longest row of its batch (dynamic padding).

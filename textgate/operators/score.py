@@ -7,8 +7,10 @@ with ``predict_batch_udf``: Arrow batches, the model loaded once per Python work
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +73,48 @@ def score_with_model(df: DataFrame, make_predict_fn: Callable, input_col: str, l
     return score_logits(df.withColumn(out, udf(F.col(input_col))), labels, logits=out)
 
 
+def score_with_inputs(df: DataFrame, make_predict_fn: Callable, inputs: Sequence[str], labels: Sequence[str], batch_size: int = 64,
+                      pad: Sequence[int] | None = None, by_length: bool = True, out: str = "logits", padded: str = "padded_cells") -> DataFrame:
+    """Logits from a predictor that takes several ragged inputs (such as input_ids and attention_mask),
+    then ``score_logits``; ``padded`` counts the cells that padding added to a row, per input.
+
+    ``make_predict_fn()`` runs once per task and returns ``fn(**{input: int64 array (rows, width)})`` ->
+    ``(rows, n_classes)``. Rows of an Arrow batch are sorted by length and cut into batches of ``batch_size``,
+    each padded with ``pad`` (0 by default) to its own longest row, at least one cell; results go back
+    to their rows. A null list is an empty one. Inputs of one row must have one length.
+    """
+    fill = list(pad or [0] * len(inputs))
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType())), T.StructField(padded, T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predict = make_predict_fn()
+        for b in batches:
+            if not b.num_rows:
+                continue
+            lists = [b.column(b.schema.get_field_index(c)) for c in inputs]
+            lengths = [x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for x in lists]
+            if any((n != lengths[0]).any() for n in lengths):
+                raise ValueError(f"{list(inputs)} differ in length within a row")
+            size, values = lengths[0], [x.flatten().to_numpy(zero_copy_only=False) for x in lists]
+            starts = np.cumsum(size) - size
+            order = np.argsort(size, kind="stable") if by_length else np.arange(len(size))
+            logits, extra = [None] * len(size), np.zeros(len(size), np.int32)
+            for at in range(0, len(order), batch_size):
+                rows = order[at:at + batch_size]
+                width = max(1, int(size[rows].max()))
+                real = np.arange(width) < size[rows][:, None]
+                arrays = {}
+                for name, value, blank in zip(inputs, values, fill):
+                    arrays[name] = np.full(real.shape, blank, np.int64)
+                    arrays[name][real] = value[(starts[rows][:, None] + np.arange(width))[real]]
+                for row, result in zip(rows.tolist(), np.asarray(predict(**arrays), float)):
+                    logits[row] = result
+                extra[rows] = width - size[rows]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(logits, pa.list_(pa.float64())), pa.array(extra)], [*b.schema.names, out, padded])
+
+    return score_logits(df.mapInArrow(run, schema), labels, logits=out)
+
+
 def map_batches(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
     """Apply ``fn(Iterator[pandas.DataFrame]) -> Iterator[pandas.DataFrame]`` to Arrow batches."""
     return df.mapInPandas(fn, schema)

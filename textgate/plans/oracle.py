@@ -326,6 +326,17 @@ SELECT doc_id, batch, CAST(l AS INTEGER) AS n_ids, CAST(len(t) AS INTEGER) AS ma
        array_to_string({PADDED('t', 'l')}, ' ') AS input_ids
 FROM mx""")
 
+oracle("assign_batches", with_(
+    CLEAN, f"""tok AS (SELECT doc_id, {TOK('text')} AS t, (row_number() OVER (ORDER BY md5('42:' || doc_id)) - 1) // 8 AS batch FROM clean)""") + """
+SELECT doc_id, batch, CAST(max(len(t)) OVER (PARTITION BY batch) AS INTEGER) AS n_ids, CAST(len(t) AS INTEGER) AS mask_sum FROM tok""")
+
+oracle("score_with_inputs", with_(
+    CLEAN, f"ids AS (SELECT doc_id, list_transform({TOK('text')}, lambda w: length(w)) AS i FROM clean)",
+    "logits AS (SELECT doc_id, list_transform([2, 3, 5], lambda m: coalesce(list_sum(list_transform(i, lambda x: x % m)), 0) / greatest(len(i), 1)) AS l FROM ids)",
+    "e AS (SELECT doc_id, l, list_transform(l, lambda x: exp(x - list_max(l))) AS e FROM logits)") + f"""
+SELECT doc_id, {ARGMAX('l')} AS predicted_id, ['two', 'three', 'five'][{ARGMAX('l')} + 1] AS predicted_label,
+       round(list_max(e) / list_sum(e), 6) AS confidence FROM e""")
+
 oracle("map_batches", with_(CLEAN) + """
 SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars,
        CAST(CASE WHEN text = '' THEN 0 ELSE len(string_split(text, ' ')) END AS BIGINT) AS n_words
@@ -351,6 +362,12 @@ oracle("read_labelled_auto", ORACLE["read_labelled"])
 oracle("read_labelled_dialects", with_(DIRTY_SQL + """,
 dialects AS (SELECT * REPLACE (' ' || chr(10) || '"; , ' || chr(9) || '|'' ' || chr(10) || text || chr(10) || ';''|' AS text) FROM dirty)""",
                                        CLEAN_OF("dialects", "clean")) + "SELECT doc_id, text, label, subtype FROM clean")
+oracle("zip_as_placed", with_(CLEAN) + """
+SELECT doc_id, label, row_number() OVER (ORDER BY doc_id) - 1 AS position, upper(label) AS predicted_label, CAST(length(text) AS INTEGER) AS n_chars
+FROM clean""")
+oracle("preview_file_order", with_(GAPPY) + """
+SELECT doc_id, position FROM (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM gclean)
+WHERE text = '' OR label = '' ORDER BY position LIMIT 5""")
 oracle("write_table", ORACLE["misclassified"])
 oracle("read_splits", ORACLE["stratified_split"])
 oracle("write_splits", split_sql(DEFAULT_FRACTIONS).replace(

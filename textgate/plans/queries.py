@@ -355,6 +355,15 @@ def q_pad_to_group_max(spark, sf):
                      F.array_join("input_ids", " ").alias("input_ids"))
 
 
+@query
+def q_assign_batches(spark, sf):
+    """Batches of 8 without a dense key, padded to their longest row."""
+    tokens = E.assign_batches(E.tokenise(cleaned(spark, sf), max_length=None).select("doc_id", "input_tokens"), key="doc_id")
+    df = E.pad_to_group_max(materialise(tokens, "tokens"), "batch")
+    return df.select("doc_id", "batch", F.size("input_ids").alias("n_ids"),
+                     F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+
+
 def _count_words(batches):
     for b in batches:
         t = b["text"].fillna("")
@@ -398,6 +407,26 @@ def q_score_with_model(spark, sf):
     return s.select("vec_id", "predicted_id", "predicted_label", r6("confidence").alias("confidence"))
 
 
+def make_ragged_predictor():
+    import numpy as np
+
+    def predict(input_ids, attention_mask):
+        n = np.maximum(attention_mask.sum(1), 1)
+        return np.stack([(input_ids % m * attention_mask).sum(1) / n for m in (2, 3, 5)], axis=1)
+
+    return predict
+
+
+@query
+def q_score_with_inputs(spark, sf):
+    """Ids (word lengths) and mask of every document's tokens, ragged, through one predictor."""
+    tokens = E.tokenise(cleaned(spark, sf), max_length=None)
+    ids = tokens.select("doc_id", F.transform("input_tokens", lambda t: F.length(t)).alias("input_ids"),
+                        F.transform("input_tokens", lambda t: F.lit(1)).alias("attention_mask"))
+    s = S.score_with_inputs(ids, make_ragged_predictor, ["input_ids", "attention_mask"], ["two", "three", "five"])
+    return s.select("doc_id", "predicted_id", "predicted_label", r6("confidence").alias("confidence"))
+
+
 # ---------------------------------------------------------------- 2.1 / 2.2 sources and sinks (round trips)
 # Each writes under the session's checkpoint folder (a fresh path per call) and reads it back.
 
@@ -452,6 +481,36 @@ def q_read_labelled_dialects(spark, sf):
     return _as_clean(back)
 
 
+def _in_order(df: DataFrame, files: int) -> DataFrame:
+    """Rows as files whose order is that of doc_id."""
+    return df.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id")
+
+
+@query
+def q_zip_as_placed(spark, sf):
+    """Predictions without a key, put beside the rows that they were made of, in the order of the files."""
+    from textgate.sources import positions as P
+
+    rows, path = cleaned(spark, sf), _scratch(spark, "placed")
+    _in_order(rows, 5).select("doc_id", "label").write.parquet(f"{path}/rows")
+    _in_order(rows, 3).select(F.upper("label").alias("predicted_label"), F.length("text").alias("n_chars")).write.parquet(f"{path}/predictions")
+    return P.zip_as_placed(P.read_placed(spark, f"{path}/rows"), P.read_placed(spark, f"{path}/predictions"))
+
+
+@query
+def q_preview_file_order(spark, sf):
+    """The first five blank rows of a CSV folder, in the order of its files, with their row numbers."""
+    from textgate.sources import positions as P
+    from textgate.sources import readers as R
+    from textgate.sources import writers as W
+
+    path = _scratch(spark, "raw-placed")
+    W.write_table(_in_order(gappy(spark, sf), 4), path, sep=";")
+    rows = R.read_labelled(spark, path, position="position")
+    blank = C.blank_rows(C.fill_text_label(rows))
+    return P.first_rows(blank).select(F.col("doc_id").cast("bigint").alias("doc_id"), "position")
+
+
 @query
 def q_write_table(spark, sf):
     from textgate.sources import readers as R

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textgate.ranking import with_position
 from textgate.session import materialise
 
 #: First lines of a file that tell its dialect and header, and their characters at most.
@@ -238,15 +239,21 @@ class _Plan:
         return int(self.group[at]) if at < len(self.hashes) and self.hashes[at] == h else 0
 
 
-def _assemble(plan: _Plan, pieces: bool):
-    """The records that lie in one range, as (group, record); with ``pieces``, instead the parts of those
-    that cross a range's end, as (file, owner, start, part, group); start -1 marks a header."""
+def _assemble(plan: _Plan, pieces: bool, places: bool = False):
+    """The records that lie in one range, as (group, record, file, start, n), n by their order
+    (file only with ``places``); with
+    ``pieces``, instead the parts of those that cross a range's end, as (file, owner, start, part, group); start -1 marks a header."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []  # lines of a record that may go on
-        crosses, group, file, start, skip, owner, at_head = False, 0, "", 0, False, None, False
+        crosses, group, file, start, skip, owner, at_head, n = False, 0, "", 0, False, None, False, 0
 
         def whole(texts: pa.Array) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(texts), group, np.int32)), texts.cast(pa.string())], ["group", "record"])
+            nonlocal n
+            n += len(texts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(texts), group, np.int32)), texts.cast(pa.string()),
+                 pa.repeat(file, len(texts)) if places else pa.nulls(len(texts), pa.string()),
+                 pa.array(np.full(len(texts), start)), pa.array(np.arange(n - len(texts), n))], ["group", "record", "file", "start", "n"])
 
         def part(of: int) -> pa.RecordBatch:
             row = (file, of, -1 if skip else start, "\n".join(held))
@@ -264,7 +271,7 @@ def _assemble(plan: _Plan, pieces: bool):
         for f, s, new, lines in _ranges(batches):
             if new:
                 yield from close()
-                file, start, held = f, s, []
+                file, start, held, n = f, s, [], 0
                 h = _hash(f)
                 group = plan.group_of(h)
                 at_head, crosses, owner = plan.crossing.get((h, s), (False, False, None))
@@ -302,7 +309,7 @@ def _assemble(plan: _Plan, pieces: bool):
 
 
 def read_csv(spark: SparkSession, path: str, dialects: Sequence[Dialect], quoted_newlines: bool = True,
-             expected: Sequence[str] = ()) -> DataFrame | None:
+             expected: Sequence[str] = (), position: str | None = None) -> DataFrame | None:
     """The records below ``path`` as string columns named by each file's own header, or None if no file
     has a line. Each file has the dialect of ``dialects`` that ``detect`` finds for it and the ``expected`` columns.
 
@@ -311,6 +318,8 @@ def read_csv(spark: SparkSession, path: str, dialects: Sequence[Dialect], quoted
     goes on to the end of its file. Every range of ``spark.sql.files.maxPartitionBytes`` is a task's.
     With ``quoted_newlines`` off, each line is a record, and only first ranges are looked at beforehand.
 
+    With ``position`` there is a column of that name: the row's number in file order, files by path.
+
     The driver gets one row per file and one per range that a record crosses.
     """
     lines = _lines(spark, path)
@@ -329,17 +338,18 @@ def read_csv(spark: SparkSession, path: str, dialects: Sequence[Dialect], quoted
     crossing = {(_hash(r["file"]), r["start"]): (r["inside"], r["crosses"], r["owner"])
                 for r in known.filter("inside OR crosses").toLocalIterator()}
     plan = _Plan(dialects, groups, files, crossing, quoted_newlines)
-    out = lines.mapInArrow(_assemble(plan, False), "group int, record string")
+    out = lines.mapInArrow(_assemble(plan, False, position is not None), "group int, record string, file string, start long, n long")
     if crossing:
         parts = materialise(lines.mapInArrow(_assemble(plan, True), "file string, owner long, start long, part string, group int"), "csv-pieces")
         own = F.array_sort(F.collect_list(F.struct("start", "part")))
         joined = parts.groupBy("file", "owner").agg(F.first("group").alias("group"), own.alias("own")).filter("own[0].start >= 0") \
-            .select("group", F.array_join(F.transform("own", lambda x: x["part"]), "\n").alias("record"))
+            .select("group", F.array_join(F.transform("own", lambda x: x["part"]), "\n").alias("record"), "file", F.col("owner").alias("start"),
+                    F.lit(1 << 62).alias("n"))  # the last record that starts in its range
         out = out.unionByName(joined)
-    return _parsed(out, dialects, groups)
+    return _parsed(out, dialects, groups, position)
 
 
-def _parsed(rows: DataFrame, dialects: Sequence[Dialect], groups: list[tuple[int, str]]) -> DataFrame:
+def _parsed(rows: DataFrame, dialects: Sequence[Dialect], groups: list[tuple[int, str]], position: str | None) -> DataFrame:
     record = F.regexp_replace("record", "\r\\z", "")
     columns: dict[str, list] = {}
     for i, (d, header) in enumerate(groups):
@@ -354,4 +364,7 @@ def _parsed(rows: DataFrame, dialects: Sequence[Dialect], groups: list[tuple[int
     for i, (d, _) in enumerate(groups):
         blanks = " \r" if dialects[d][0] == "\t" else " \t\r"
         used = used | ((F.col("group") == i) & (F.btrim("record", F.lit(blanks)) != ""))
-    return rows.filter(used).select(*[(F.coalesce(*c) if len(c) > 1 else c[0]).alias(name) for name, c in columns.items()])
+    rows = rows.filter(used).select("file", "start", "n", *[(F.coalesce(*c) if len(c) > 1 else c[0]).alias(f"_x{i}") for i, c in enumerate(columns.values())])
+    if position:
+        rows = with_position(rows, ["file", "start", "n"], position)
+    return rows.select(*[F.col(f"_x{i}").alias(name) for i, name in enumerate(columns)], *([position] if position else []))

@@ -28,21 +28,23 @@ CSV_OPTIONS = {"header": "true", "inferSchema": "false", "escape": '"', "quote":
                "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_labelled(spark: SparkSession, path: str, sep: str = RAW_SEP, multi_line: bool = True) -> DataFrame:
+def read_labelled(spark: SparkSession, path: str, sep: str = RAW_SEP, multi_line: bool = True, position: str | None = None) -> DataFrame:
     """Delimited UTF-8 text (a leading BOM is dropped), header-named string columns, cleaned names.
 
     Files are read in byte ranges, by as many tasks, also where quoted fields hold newlines: a scan
     before finds out which ranges start inside a quoted field (``csv_ranges``). Input known to be one
     record per line can pass ``multi_line=False`` and be spared that scan. Every file is bound by its own
-    header; a column that a file lacks is null there.
+    header; a column that a file lacks is null there. ``position`` names a column to add: the row's
+    number in file order, files by path.
     """
-    return _named(spark, path, [(sep, '"')], multi_line)
+    return _named(spark, path, [(sep, '"')], multi_line, position)
 
 
-def _named(spark: SparkSession, path: str, dialects: Sequence[tuple[str, str]], multi_line: bool) -> DataFrame:
-    df = read_csv(spark, path, dialects, multi_line, expected=("text", "label") if len(dialects) > 1 else ())
+def _named(spark: SparkSession, path: str, dialects: Sequence[tuple[str, str]], multi_line: bool, position: str | None = None) -> DataFrame:
+    df = read_csv(spark, path, dialects, multi_line, ("text", "label") if len(dialects) > 1 else (), position)
     if df is None:  # no file has a line
         df = _csv(spark, path, dialects[0][0], multi_line)
+        df = df.withColumn(position, F.lit(0).cast("long")) if position else df
     return C.require_columns(C.clean_header(df))
 
 
@@ -67,10 +69,10 @@ def detect_delimiter(spark: SparkSession, path: str, candidates: Sequence[str] =
     return best[2] if best[0] > 0 else default
 
 
-def read_labelled_auto(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_labelled_auto(spark: SparkSession, path: str, multi_line: bool = True, position: str | None = None) -> DataFrame:
     """Same as ``read_labelled`` with delimiter and quote detected for each file: those by which its first
     records split most evenly, where the header then has both required columns."""
-    return _named(spark, path, [(sep, quote) for quote in QUOTES for sep in DELIMITERS], multi_line)
+    return _named(spark, path, [(sep, quote) for quote in QUOTES for sep in DELIMITERS], multi_line, position)
 
 
 def load_dataset(spark: SparkSession, path: str, sep: str | None = RAW_SEP, key: str | None = None,

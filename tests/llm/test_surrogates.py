@@ -110,3 +110,46 @@ def test_a_phone_ends_where_the_next_number_starts(text, want):
     ("4111 1111 1111 1111 190.137.223.204", [("4111 1111 1111 1111", "card"), ("190.137.223.204", "ip")])])
 def test_numbers_in_a_row_stay_apart(text, want):
     assert [x[:2] for x in found(text)] == want
+
+
+def plain_assignments(entities):
+    """Round by round, with sets."""
+    real, taken, out, open_ = set(entities), set(), {}, {e: 0 for e in entities}
+    while open_:
+        made = {e: S.surrogate(KEY, *e, attempt) for e, attempt in open_.items()}
+        for (kind, normal), new in sorted(made.items()):
+            if (kind, new) not in real | taken and min(n for (k, n), x in made.items() if (k, x) == (kind, new)) == normal:
+                out[kind, normal] = (open_.pop((kind, normal)), new)
+        taken = {(k, new) for (k, _), (_, new) in out.items()}
+        open_ = {e: a + 1 for e, a in open_.items()}
+    return out
+
+
+def test_assignments_equal_a_plain_version(spark):
+    entities = [("ip", f"1.2.3.{k}") for k in range(10)] + [("ip", f"{a}.1.1.1") for a in range(1, 10)] + [("ssn", f"123-45-{k:04d}") for k in range(50)]
+    entities += [("name", f"{g}:{n.casefold()}") for (script, g), names in S.GIVEN.items() for n in names]
+    entities += [("phone", f"{k:04d}") for k in range(60)] + [("email", f"a@{c}.org") for c in "abcdefghijkl"]
+    df = spark.createDataFrame(entities, "type string, normal string")
+    got = {(r.type, r.normal): (r.attempt, r.surrogate) for r in S.assignments(df.repartition(3), KEY).collect()}
+    assert got == plain_assignments(entities)
+
+
+def test_gender_stays_when_all_listed_names_are_taken(spark):
+    entities = [("name", f"{g}:{n.casefold()}") for (script, g), names in S.GIVEN.items() for n in names]
+    df = spark.createDataFrame(entities, "type string, normal string")
+    got = S.assignments(df, KEY).collect()
+    for r in got:
+        gender, _, name = r.normal.partition(":")
+        script = S._script(name[0])
+        new_gender, _, new = r.surrogate.partition(":")
+        assert new_gender == gender and new.endswith(S.ENDINGS[script, gender]) and S._script(new[0]) == script
+    assert len({r.surrogate for r in got}) == len(got) and max(r.attempt for r in got) < S.WIDEN
+
+
+def test_rows_without_ids_keep_their_own_lists(spark):
+    names = [n for n in S.GIVEN["latin", "m"]]
+    rows = [(None, f"Mr {n} Smith met Mr {m} Jones") for n, m in zip(names, names[1:] + names[:1])] + [(7, None), (7, "")]
+    out = S.replace_entities(spark.createDataFrame(rows, "doc_id long, text string"), KEY)
+    got = [r.text for r in out.collect() if r.text]
+    assert len(got) == len(names) and len({t.split()[1] for t in got}) == len(names)
+    assert {t.split()[1] for t in got} == {t.split()[5] for t in got}

@@ -42,6 +42,14 @@ GIVEN = {
 }
 #: Letters that a script's surrogates are spelt with (vowels, consonants).
 LETTERS = {"latin": ("aeiou", "bcdfghklmnprstvz"), "cyrillic": ("аеиоу", "бвгдзклмнпрст"), "greek": ("αεηιο", "βγδζθκλμνπρστ")}
+#: Endings of made-up given names, by script and gender.
+ENDINGS = {
+    ("latin", "m"): ("o", "us", "an", "ard"), ("latin", "f"): ("a", "ina", "elle", "ia"),
+    ("cyrillic", "m"): ("ан", "ий", "ор"), ("cyrillic", "f"): ("а", "ия", "ина"),
+    ("greek", "m"): ("ος", "ης", "ας"), ("greek", "f"): ("α", "η", "ούλα"),
+}
+#: Attempts that choose among GIVEN; later ones make names up.
+LISTED = 2
 
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _TITLE = "|".join(sorted((re.escape(t) for ts in TITLES.values() for t in ts), key=len, reverse=True))
@@ -191,14 +199,22 @@ def _spell(word: str, stream: _Stream, script: str = "") -> str:
     return "".join(out)
 
 
+def _given_name(script: str, gender: str, syllables: int, stream: _Stream) -> str:
+    """A made-up given name whose ending shows the gender; with two syllables one of 10^5 or more."""
+    vowels, consonants = LETTERS[script]
+    letters = [x[stream.below(len(x))] for x in (*[consonants, vowels] * syllables, consonants)]
+    ends = ENDINGS[script, gender]
+    return "".join(letters) + ends[stream.below(len(ends))]
+
+
 def surrogate(key: bytes, kind: str, normal: str, attempt: int = 0) -> str:
     """The normal form of an entity's surrogate; it has the entity's length and layout.
 
     email: the local part and the domain's labels are spelt anew, the last label stays; a domain
     gets the same surrogate with every local part. ip: octets of the same length, all valid.
     card: the first digit stays, the checksum holds. ssn, phone: digits, with the country
-    code kept. name: a given name of the same script and gender for a given name, else a name
-    spelt anew in its script.
+    code kept. name: a given name of the same script and gender for a given name (from a list, then made
+    up with an ending of that gender), else a name spelt anew in its script.
     """
     wide = attempt >= WIDEN
     stream = _Stream(key, kind, normal, str(attempt))
@@ -221,8 +237,10 @@ def surrogate(key: bytes, kind: str, normal: str, attempt: int = 0) -> str:
     gender, _, name = normal.partition(":")
     script = _script(name[0])
     given = GIVEN.get((script, gender))
-    if given and not wide:
+    if given and attempt < LISTED:
         return gender + ":" + given[stream.below(len(given))].casefold()
+    if given:
+        return gender + ":" + _given_name(script, gender, 2 + attempt // WIDEN, stream)
     return gender + ":" + _spell(name, stream, script) + LETTERS[script][0][stream.below(4)] * (attempt // WIDEN)
 
 
@@ -245,11 +263,12 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            rows = [(i, k, n) for i, text in zip(part.column(0), part.column(1).to_pylist()) if text
+            rows = [(i, h, k, n) for i, text, h in zip(part.column(0), part.column(1).to_pylist(), part.column(2)) if text
                     for k, n in sorted({(k, n) for _, _, k, n in mentions(text)})]
             if rows:
                 ids = pa.array([r[0].as_py() for r in rows], part.schema.field(0).type)
-                yield pa.RecordBatch.from_arrays([ids, *(pa.array([r[j] for r in rows], pa.string()) for j in (1, 2))], ["id", "type", "normal"])
+                hashes = pa.array([r[1].as_py() for r in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([ids, hashes, *(pa.array([r[j] for r in rows], pa.string()) for j in (2, 3))], ["id", "hash", "type", "normal"])
 
 
 def _assign(key: bytes):
@@ -264,24 +283,20 @@ def assignments(entities: DataFrame, key: bytes) -> DataFrame:
     """(type, normal, attempt, surrogate) of distinct ``entities`` (type, normal): surrogates are
     distinct within a type, and none is an entity.
 
-    Each round makes the surrogates that are open, and sends back those that are an entity or are
-    taken: of equal ones, the settled one stays, else the smallest normal form. Raises when a
-    format has no values left.
+    Each round makes the surrogates that are open and settles those that are no entity and not taken; of
+    equal ones the smallest normal form is settled. What is settled is only looked up by later rounds,
+    which are as large as what is left. Raises when a format has no values left.
     """
     schema = "type string, normal string, attempt int, surrogate string"
-    open_, settled = entities.select("type", "normal", F.lit(0).alias("attempt")), None
+    open_ = entities.select("type", "normal", F.lit(0).alias("attempt"))
+    settled, taken = None, entities.select("type", F.col("normal").alias("surrogate"))
     for attempt in range(LAST):
-        made = open_.mapInArrow(_assign(key), schema).withColumn("settled", F.lit(False))
-        if settled is not None:
-            made = made.unionByName(settled.withColumn("settled", F.lit(True)))
-        made = materialise(made, "made")
-        best = made.groupBy("type", "surrogate").agg(F.max(F.col("settled")).alias("taken"), F.min("normal").alias("first"))
-        real = entities.select("type", F.col("normal").alias("surrogate"), F.lit(True).alias("real"))
-        judged = made.join(best, ["type", "surrogate"]).join(real, ["type", "surrogate"], "left")
-        wins = F.col("settled") | (~F.col("taken") & (F.col("normal") == F.col("first")) & F.col("real").isNull())
-        judged = materialise(judged.select("type", "normal", "attempt", "surrogate", wins.alias("wins")), "judged")
-        settled = judged.filter("wins").drop("wins")
-        lost = judged.filter("NOT wins")
+        made = materialise(open_.mapInArrow(_assign(key), schema), "made")
+        first = made.groupBy("type", "surrogate").agg(F.min("normal").alias("normal"))
+        wins = materialise(made.join(first.join(taken, ["type", "surrogate"], "left_anti"), ["type", "surrogate", "normal"]).select(*made.columns), "settled")
+        settled = wins if settled is None else settled.unionByName(wins)
+        taken = taken.unionByName(wins.select("type", "surrogate"))
+        lost = made.join(wins, ["type", "normal"], "left_anti")
         if not lost.limit(1).count():
             return settled
         open_ = lost.select("type", "normal", F.lit(attempt + 1).alias("attempt"))
@@ -326,14 +341,14 @@ def replace_entities(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     rows are replaced alike. Other columns are not read; an empty table gives an empty one.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = materialise(source.mapInArrow(_find, f"id {id_type}, type string, normal string"), "mentions")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("hash"))
+    found = materialise(source.mapInArrow(_find, f"id {id_type}, hash long, type string, normal string"), "mentions")
     entities = materialise(found.select("type", "normal").distinct(), "entities")
     later = assignments(entities, key).filter("attempt > 0").select("type", "normal", "attempt")
-    # one list per id of the few entities that are not at their first attempt
-    later = found.join(later, ["type", "normal"]).groupBy("id").agg(F.collect_set(F.struct("type", "normal", "attempt")).alias("later"))
-    later = materialise(later.withColumnRenamed("id", "_of"), "later")
-    return source.join(later, source["id"].eqNullSafe(later["_of"]), "left").select("id", "text", "later") \
+    # one list per id and text of its few entities that are not at their first attempt; ids may repeat or be null
+    later = found.join(later, ["type", "normal"]).groupBy("id", "hash").agg(F.collect_set(F.struct("type", "normal", "attempt")).alias("later"))
+    later = materialise(later.withColumnsRenamed({"id": "_of", "hash": "_hash"}), "later")
+    return source.join(later, source["id"].eqNullSafe(later["_of"]) & (source["hash"] == later["_hash"]), "left").select("id", "text", "later") \
         .mapInArrow(_replace(key), f"id {id_type}, text string, n_replaced bigint, kinds array<string>") \
         .withColumnRenamed("id", id_col)
 

@@ -147,6 +147,7 @@ def test_a_damaged_model_is_refused(spark, tmp_path):
     file = next((tmp_path / "m" / version / "weights").glob("*.parquet"))
     other = spark.read.parquet(str(file)).filter("feature > 3").toPandas()
     other.to_parquet(file)
-    next((tmp_path / "m" / version / "weights").glob(".*.crc")).unlink()
+    for crc in (tmp_path / "m" / version / "weights").glob(".*.crc"):
+        crc.unlink()
     with pytest.raises(ValueError, match="'weights' has 29 rows, published were 33"):
         TR.load_gate(spark, str(tmp_path / "m"))

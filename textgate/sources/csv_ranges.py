@@ -111,12 +111,12 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, start, value): the lines, by file and byte range.
 
     All scans must cut the files alike, whatever settings or executors change between them. A relation
-    keeps the settings of the session that made it, so it is made by one of its own, where ranges do
-    not depend on the number of cores.
+    keeps the settings of the session that made it, so it is made by one of its own, where the number of
+    cores that small inputs are cut for is the one of now.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
-    own.conf.set("spark.sql.files.minPartitionNum", "1")
+    own.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     text = own.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
     return spark.createDataFrame([], text.schema).unionByName(text)
@@ -324,19 +324,15 @@ def read_csv(spark: SparkSession, path: str, dialects: Sequence[Dialect], quoted
     """
     lines = _lines(spark, path)
     seen = lines if quoted_newlines else lines.filter("start = 0")
-    known = materialise(
-        seen.mapInArrow(_maps(dialects, quoted_newlines), MAPS).groupBy("file").applyInArrow(
-            _compose(dialects, expected), "file string, dialect int, header string, start long, inside boolean, crosses boolean, owner long"), "csv-ranges")
-    groups = sorted(((r["dialect"], r["header"]) for r in known.filter("header IS NOT NULL").select("dialect", "header").distinct().collect()),
-                    key=lambda g: (g[1], g[0]))
+    known = seen.mapInArrow(_maps(dialects, quoted_newlines), MAPS).groupBy("file").applyInArrow(
+        _compose(dialects, expected), "file string, dialect int, header string, start long, inside boolean, crosses boolean, owner long").toArrow().to_pylist()
+    heads = {r["file"]: (r["dialect"], r["header"]) for r in known if r["start"] == 0}
+    groups = sorted({g for g in heads.values() if g[1] is not None}, key=lambda g: (g[1], g[0]))
     if not groups:
         return None
     place = {g: i for i, g in enumerate(groups)}
-    files = {}
-    if len(groups) > 1:
-        files = {_hash(r["file"]): place.get((r["dialect"], r["header"]), 0) for r in known.filter("start = 0").toLocalIterator()}
-    crossing = {(_hash(r["file"]), r["start"]): (r["inside"], r["crosses"], r["owner"])
-                for r in known.filter("inside OR crosses").toLocalIterator()}
+    files = {_hash(f): place.get(g, 0) for f, g in heads.items()} if len(groups) > 1 else {}
+    crossing = {(_hash(r["file"]), r["start"]): (r["inside"], r["crosses"], r["owner"]) for r in known if r["inside"] or r["crosses"]}
     plan = _Plan(dialects, groups, files, crossing, quoted_newlines)
     out = lines.mapInArrow(_assemble(plan, False, position is not None), "group int, record string, file string, start long, n long")
     if crossing:

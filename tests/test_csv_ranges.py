@@ -147,3 +147,33 @@ def test_states_equal_a_walk_over_characters(rows, cut):
         inside = CR.ends_inside(line, (";", '"'), inside)
     # quotes written by a writer are balanced, so their parity tells the state
     assert states == ["\n".join(lines[:i]).count('"') % 2 == 1 for i in range(len(lines))] and not inside
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """A task for each small range would start Python, and take the plan of all ranges, once for every one of them."""
+    rows = made(7, 4000)
+    write(tmp_path / "a.csv", rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        lines = CR._lines(spark, str(tmp_path / "a.csv"))
+        ranges, tasks = lines.select("start").distinct().count(), lines.rdd.getNumPartitions()
+        assert ranges > 100 and tasks <= 4 * spark.sparkContext.defaultParallelism
+        assert got(R.read_labelled(spark, str(tmp_path / "a.csv"))) == sorted(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_tasks_grow_with_the_bytes(spark):
+    before, least = spark.conf.get("spark.sql.files.maxPartitionBytes"), 4 * spark.sparkContext.defaultParallelism
+    try:
+        for size, ranges, tasks in (("64k", 3, 3), ("64k", 1 << 20, 2048), ("128m", 5000, 5000), ("134217728b", 700, 700), ("65536", 1000, least)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert CR._tasks(spark, ranges) == tasks
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@given(st.text(";,\"'a", max_size=12), st.sampled_from(FOUR), st.booleans())
+def test_open_quotes_are_those_of_the_fields(line, dialect, inside):
+    assert CR.ends_inside(line, dialect, inside) == CR.fields(line, dialect, inside)[1]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,6 +27,8 @@ from textgate.session import materialise
 
 #: First lines of a file that tell its dialect and header, and their characters at most.
 HEAD_LINES, HEAD_CHARS = 64, 1 << 16
+#: Bytes of ranges that a task reads at least, if there are enough for all cores.
+TASK_BYTES = 32 << 20
 Dialect = tuple[str, str]  # delimiter, quote
 
 
@@ -35,7 +38,25 @@ def ends_inside(line: str, dialect: Dialect, inside: bool) -> bool:
     A quote opens a field only as its first character; doubled, it stands for itself; behind a closed
     one everything up to the delimiter belongs to the field.
     """
-    return fields(line, dialect, inside)[1]
+    sep, quote = dialect
+    if len(sep) > 1:
+        return fields(line, dialect, inside)[1]
+    opening, at = sep + quote, 0  # where the next quoted field opens, whatever fields stand before it
+    if not inside and line.startswith(quote):
+        inside, at = True, 1
+    while True:
+        if inside:
+            at = line.find(quote, at)
+            if at < 0:
+                return True
+            if line.startswith(quote, at + 1):
+                at += 2
+                continue
+            at += 1
+        at = line.find(opening, at)
+        if at < 0:
+            return False
+        inside, at = True, at + 2
 
 
 def fields(line: str, dialect: Dialect, inside: bool = False) -> tuple[int, bool]:
@@ -113,13 +134,24 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     All scans must cut the files alike, whatever settings or executors change between them. A relation
     keeps the settings of the session that made it, so it is made by one of its own, where the number of
     cores that small inputs are cut for is the one of now.
+
+    Ranges much smaller than ``TASK_BYTES`` share a task, one after the other: else each of them would start
+    a task of its own, and each task would take the whole plan of the second scan.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
     own.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     text = own.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
-    return spark.createDataFrame([], text.schema).unionByName(text)
+    lines = spark.createDataFrame([], text.schema).unionByName(text)
+    return lines.coalesce(_tasks(spark, lines.rdd.getNumPartitions()))
+
+
+def _tasks(spark: SparkSession, ranges: int) -> int:
+    """Tasks for so many ranges: one for every ``TASK_BYTES`` of them, but four a core where there are as many ranges."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)(?:i?b)?", spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()).groups()
+    size = int(number) << 10 * " kmgtp".index(unit or " ")
+    return max(1, min(ranges, max(4 * spark.sparkContext.defaultParallelism, -(-ranges * size // TASK_BYTES))))
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool, pa.Array]]:
@@ -140,16 +172,21 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bool,
             last = key
 
 
-def _states(lines: pa.Array, dialect: Dialect, inside: bool) -> tuple[np.ndarray, bool]:
-    """(state at each line's start, state at the end). Lines without a quote change nothing, so only
-    the others are looked at one by one."""
-    marked = np.flatnonzero(pc.match_substring(lines, dialect[1]).to_numpy(zero_copy_only=False))
-    after = np.empty(len(marked), bool)
+def _marked(lines: pa.Array, quote: str) -> tuple[np.ndarray, list[str]]:
+    """Which lines have a quote, and their texts. The others change no state, so only these are looked at one by one."""
+    marked = np.flatnonzero(pc.match_substring(lines, quote).to_numpy(zero_copy_only=False))
+    return marked, lines.take(pa.array(marked)).to_pylist()
+
+
+def _states(n: int, marked: tuple[np.ndarray, list[str]], dialect: Dialect, inside: bool) -> tuple[np.ndarray, bool]:
+    """(state at the start of each of ``n`` lines, state at the end)."""
+    places, texts = marked
+    after = np.empty(len(places), bool)
     state = inside
-    for k, text in enumerate(lines.take(pa.array(marked)).to_pylist()):
+    for k, text in enumerate(texts):
         state = after[k] = ends_inside(text, dialect, state)
-    changes = np.zeros(len(lines) + 1, np.int64)
-    changes[marked + 1] = np.arange(1, len(marked) + 1)
+    changes = np.zeros(n + 1, np.int64)
+    changes[places + 1] = np.arange(1, len(places) + 1)
     latest = np.maximum.accumulate(changes)[:-1]
     return np.where(latest > 0, after[latest - 1] if len(after) else inside, inside), state
 
@@ -180,9 +217,10 @@ def _maps(dialects: Sequence[Dialect], quoted_newlines: bool):
                     if sum(map(len, head)) + len(line) <= HEAD_CHARS or not head:
                         head.append(line)
             if quoted_newlines:
+                marked = {quote: _marked(lines, quote) for _, quote in dialects}
                 for s, dialect in zip(state, dialects):
-                    _, s[0] = _states(lines, dialect, s[0])
-                    at, s[1] = _states(lines, dialect, s[1])
+                    _, s[0] = _states(len(lines), marked[dialect[1]], dialect, s[0])
+                    at, s[1] = _states(len(lines), marked[dialect[1]], dialect, s[1])
                     s[2] |= not at.all()
         if key is not None:
             yield out()
@@ -277,7 +315,7 @@ def _assemble(plan: _Plan, pieces: bool, places: bool = False):
                 at_head, crosses, owner = plan.crossing.get((h, s), (False, False, None))
                 state, skip = at_head, s == 0  # the first record of a file is its header
             dialect = plan.dialects[plan.groups[group][0]]
-            inside, state = _states(lines, dialect, state) if plan.quoted_newlines else (np.zeros(len(lines), bool), False)
+            inside, state = _states(len(lines), _marked(lines, dialect[1]), dialect, state) if plan.quoted_newlines else (np.zeros(len(lines), bool), False)
             starts = np.flatnonzero(~inside)
             if not len(starts):
                 held += lines.to_pylist()
@@ -315,7 +353,8 @@ def read_csv(spark: SparkSession, path: str, dialects: Sequence[Dialect], quoted
 
     Files may order their columns differently or lack some, which are null there. Blank lines are
     skipped; a missing last field is null; fields beyond the header are dropped. A field left open
-    goes on to the end of its file. Every range of ``spark.sql.files.maxPartitionBytes`` is a task's.
+    goes on to the end of its file. Every range of ``spark.sql.files.maxPartitionBytes`` is read apart, small
+    ones by one task after each other.
     With ``quoted_newlines`` off, each line is a record, and only first ranges are looked at beforehand.
 
     With ``position`` there is a column of that name: the row's number in file order, files by path.

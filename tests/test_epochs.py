@@ -151,3 +151,16 @@ def test_a_damaged_model_is_refused(spark, tmp_path):
         crc.unlink()
     with pytest.raises(ValueError, match="'weights' has 29 rows, published were 33"):
         TR.load_gate(spark, str(tmp_path / "m"))
+
+
+def test_score_shuffles_no_row_per_word(spark):
+    """Word counts of a document are made where its ids are; the ids are made once, not again for a filter on them."""
+    from conftest import SF001
+    from textgate.plans.queries import QUERIES
+
+    df = QUERIES["score"](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    assert "Filter ((size(" not in plan and "size(filter(" not in plan
+    agg = [x for x in plan.splitlines() if "Aggregate [doc_id" in x and "feature" in x]
+    assert agg and "RepartitionByExpression [doc_id" in plan

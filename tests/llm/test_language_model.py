@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,85 @@ def test_vocabulary_grows_with_the_corpus(spark):
     state = np.zeros((1, 4), np.float32)  # two words that were one rare word before
     a, b = (L._run(m, state, np.array([[words.place[b"w%d" % i]]]), np.ones((1, 1), np.float32))[0][-1] for i in (2000, 2500))
     assert not np.allclose(a, b)
+
+
+def texts_of(n, seed):
+    r = np.random.default_rng(seed)
+    return [" ".join(WORDS[i].decode() for i in r.integers(0, 30, r.integers(1, 40))) for _ in range(n)]
+
+
+def replica(words, batches, values):
+    out = pa.Table.from_batches(list(L._train_replica(words, values, 8192)(iter(batches)))).to_pylist()
+    return {x["part"]: (x["seen"], x["data"]) for x in out}
+
+
+def test_a_replica_learns_alike_however_its_rows_are_cut(monkeypatch):
+    """Each Arrow batch had some hundred steps of its own, so many small ones cost as many times as much."""
+    words, _ = vocabulary()
+    values = L.Model(words).flat()
+    whole = pa.RecordBatch.from_pydict({"text": pa.array(texts_of(300, 5), pa.string())})
+    cut = [whole.slice(i, 23) for i in range(0, 300, 23)]
+    steps = []
+    step = L.Trainer._step
+    monkeypatch.setattr(L.Trainer, "_step", lambda self, name, *x: (steps.append(name), step(self, name, *x)))
+    one = replica(words, [whole], values)
+    n = len(steps)
+    assert replica(words, cut, values) == one and len(steps) == 2 * n
+    # parts of bounded size: every token is learned from, and the last part is not a small one
+    monkeypatch.setattr(L, "HELD", 500)
+    learned = []
+    learn = L.Trainer.learn
+    monkeypatch.setattr(L.Trainer, "learn", lambda self, texts: (learned.append(sum(map(len, texts))), learn(self, texts)))
+    assert replica(words, cut, values)[-1][0] == one[-1][0] == sum(learned)
+    assert len(learned) > 3 and min(learned) >= 500 - 40  # a text less, at most
+
+
+def test_words_are_split_as_tokens():
+    texts = ["  A\tb  C ", "", None, " \n\x0b ", "a\x0bb\x0cc\rd\n", "É\x85x\xa0Y\x1cz", "\x00 Z", "x" * 5000]
+    column = pa.array([None if t is None else t.encode() for t in [*texts, "out", "out out"]], pa.binary()).view(pa.string())
+    words, n = L._split(pa.RecordBatch.from_arrays([column], ["text"]).slice(0, len(texts)))
+    want = [tokens((t or "").encode()) for t in texts]
+    assert words.to_pylist() == [w for t in want for w in t] and n.tolist() == [len(t) for t in want]
+    places, starts = L._places(words, n, pa.array([b"a", b"b", b"c"], pa.binary()), -1, 9)
+    assert [places[s:e].tolist() for s, e in zip(starts, starts[1:])] == [[*({b"a": 0, b"b": 1, b"c": 2}.get(w, -1) for w in t), 9] for t in want]
+
+
+def test_counts_in_parts():
+    rows = texts_of(200, 6)
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(rows[i:i + 30], pa.string())}) for i in range(0, 200, 30)]
+    want = Counter(w for t in rows for w in [*tokens(t.encode()), L.END])
+    for held_at in (5, 1000):
+        got = Counter()
+        for batch in L._count(held_at)(iter(batches)):
+            for w, c in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                got[w] += c
+        assert got == want
+
+
+def test_large_logits_are_cut():
+    words, _ = vocabulary()
+    m = L.Model(words, 6)
+    r = np.random.default_rng(7)
+    m.set_flat(r.normal(0, 60, m.flat().shape))
+    h = r.normal(size=(20, 6)).astype(np.float32)
+    part, target = np.hstack([h, np.ones((20, 1), np.float32)]), np.arange(20)
+
+    def chosen(rows, own, pick):
+        logits = np.clip(rows.astype(float) @ own, -60, 60)
+        return logits[pick] - np.log(np.exp(logits).sum())
+
+    want = []
+    for own, w in zip(part, target):
+        c = words.class_of[w]
+        g = words.group_of[c]
+        want.append(chosen(m.ws, own, g) + chosen(m.wc[words.groups[g]:words.groups[g + 1]], own, c - words.groups[g])
+                    + chosen(m.ww[words.starts[c]:words.starts[c + 1]], own, w - words.starts[c]))
+    grad = {n: np.empty_like(getattr(m, n)) for n in ("ws", "wc", "ww")}
+    got, dh = L._outputs(m, words, h, target, grad)
+    assert got == pytest.approx(want, rel=1e-4, abs=1e-3) and np.isfinite(dh).all() and all(np.isfinite(g).all() for _, g in grad.values())
+
+
+def test_order_is_stable_beyond_16_bits():
+    ids = np.random.default_rng(8).integers(0, 200_000, 5000).astype(np.int32) // 3
+    assert L._order(ids).tolist() == np.argsort(ids, kind="stable").tolist()
+    assert L._order(ids % 100).tolist() == np.argsort(ids % 100, kind="stable").tolist()
